@@ -73,7 +73,7 @@ def _valid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _conformed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return conform_trips(trips_raw(spark, sf_dir), SURVIVOR_ORDER)
+    return conform_trips(trips_raw(spark, sf_dir), SURVIVOR_ORDER, descending=False)
 
 
 def _summary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,6 +93,7 @@ def _config(spark: SparkSession, name: str, **changes) -> PipelineConfig:
             gold=gold,
             schema=RAW_SCHEMA,
             survivor_order=SURVIVOR_ORDER,
+            survivor_descending=False,
         ),
         **changes,
     )
@@ -216,7 +217,7 @@ def merge_key_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def silver_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = conform_trips(trips_raw(spark, sf_dir), SURVIVOR_ORDER, one_per_merge_key=True)
+    rows = conform_trips(trips_raw(spark, sf_dir), SURVIVOR_ORDER, descending=False, one_per_merge_key=True)
     return rows.select(*_silver_columns(), "source_file")
 
 

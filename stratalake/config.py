@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
-from pyspark.sql import Column
 from pyspark.sql import types as T
 
 # Column names, keys and formats of the trip tables.
@@ -13,6 +12,7 @@ PARTITION_COLUMNS = ("year", "month")
 DEDUP_KEYS = ("vendorid", "pickup_ts", "dropoff_ts", "source_file")
 MERGE_KEYS = ("vendorid", "pickup_ts", "dropoff_ts")
 SUMMARY_KEYS = ("year", "month", "payment_type")
+LATEST_ARRIVAL = ("ingestion_timestamp", "source_file")
 TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
 DATE_FORMAT = "yyyy-MM-dd"
 TRIP_SCHEMA = T.StructType(
@@ -64,7 +64,8 @@ class PipelineConfig:
     which costs a second pass over the files.
 
     ``on_conflict`` decides what Silver does when several source rows share a merge key:
-    ``"latest"`` keeps the first row in ``survivor_order``, ``"fail"`` raises.
+    ``"latest"`` keeps the last one in ``survivor_order`` (the first one if not
+    ``survivor_descending``), ``"fail"`` raises.
     """
 
     dropzone: str | Sequence[str]
@@ -76,7 +77,8 @@ class PipelineConfig:
     infer_schema: bool = False
     on_empty: str = "warn"
     on_conflict: str = "latest"
-    survivor_order: Sequence[Column | str] = field(default_factory=tuple)
+    survivor_order: tuple[str, ...] = LATEST_ARRIVAL
+    survivor_descending: bool = True
     exact_amounts: bool = True
 
     def __post_init__(self) -> None:

@@ -1,6 +1,6 @@
 """DataFrame -> DataFrame steps. None of them touches storage."""
 
-from stratalake.operators.clean import conform_trips, rejected_trips, typed_trips, with_trip_period, with_valid_dates
+from stratalake.operators.clean import clean_trips, conform_trips, rejected_trips, typed_trips, with_trip_period, with_valid_dates
 from stratalake.operators.dedup import DuplicateKeyError, any_per_key, first_per_key, key_conflicts, require_unique
 from stratalake.operators.enrich import with_lineage, with_pickup_date
 from stratalake.operators.merge import (
@@ -9,18 +9,19 @@ from stratalake.operators.merge import (
     retained_rows,
     updated_rows,
 )
-from stratalake.operators.metrics import StepCount, count_rows_written, step_report
+from stratalake.operators.metrics import StepCount, measure_while, step_report
 from stratalake.operators.summary import monthly_summary, preview
 
 __all__ = [
     "DuplicateKeyError",
     "StepCount",
     "any_per_key",
+    "clean_trips",
     "conform_trips",
-    "count_rows_written",
     "first_per_key",
     "inserted_rows",
     "key_conflicts",
+    "measure_while",
     "merge_frames",
     "monthly_summary",
     "preview",

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratalake.config import DATE_FORMAT, DEDUP_KEYS, MERGE_KEYS
+from stratalake.config import DATE_FORMAT, DEDUP_KEYS, LATEST_ARRIVAL, MERGE_KEYS
 from stratalake.functions import parse_timestamp, to_double, to_int
 from stratalake.operators.dedup import first_per_key
 
@@ -54,14 +54,15 @@ def with_trip_period(typed: DataFrame) -> DataFrame:
     )
 
 
-def latest_arrival_order(trips: DataFrame) -> list[Column]:
-    """Newest file first. Lineage columns that ``trips`` does not have are left out."""
-    return [F.col(name).desc_nulls_last() for name in ("ingestion_timestamp", "source_file") if name in trips.columns]
+def clean_trips(trips: DataFrame) -> DataFrame:
+    """Bronze rows -> typed rows with valid dates and their period, duplicates included."""
+    return with_trip_period(with_valid_dates(typed_trips(trips)))
 
 
 def conform_trips(
     trips: DataFrame,
-    survivor_order: Sequence[Column | str] = (),
+    order: Sequence[str] = LATEST_ARRIVAL,
+    descending: bool = True,
     one_per_merge_key: bool = False,
 ) -> DataFrame:
     """Bronze rows -> Silver rows: typed, with valid dates, deduplicated, with their period.
@@ -69,9 +70,8 @@ def conform_trips(
     By default one row per trip and source file survives. ``one_per_merge_key`` also reduces
     a trip found in several files to one row. That equals deduplicating twice with the same
     order, since the first row of all is the first of the first rows per file, so it is done in
-    one shuffle.
+    one shuffle. The period follows from the pickup and is added after that shuffle.
     """
     valid = with_valid_dates(typed_trips(trips))
-    order = list(survivor_order) or latest_arrival_order(trips)
     keys = MERGE_KEYS if one_per_merge_key else DEDUP_KEYS
-    return with_trip_period(first_per_key(valid, keys, order))
+    return with_trip_period(first_per_key(valid, keys, order, descending))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -17,19 +17,25 @@ def any_per_key(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     return rows.dropDuplicates(list(keys))
 
 
-def first_per_key(rows: DataFrame, keys: Sequence[str], order: Sequence[Column | str] = ()) -> DataFrame:
-    """The first row per key in ``order``; NULLs count as equal keys.
+def as_sortable(columns: Sequence[str], keys: Sequence[str], order: Sequence[str]) -> Column:
+    """A struct of all non-key columns, those of ``order`` first. Structs compare field by field."""
+    return F.struct(*order, *[c for c in columns if c not in keys and c not in order])
 
-    All remaining columns follow as tie-breakers, so the result is the same on every run.
 
-    Spark limits each group to its first row before the shuffle as well as after it, so a key
-    that holds a large share of the table sends one row per input partition, not the group.
+def first_per_key(
+    rows: DataFrame, keys: Sequence[str], order: Sequence[str] = (), descending: bool = False
+) -> DataFrame:
+    """The first row per key in ``order``, or the last if ``descending``; NULLs count as equal keys.
+
+    All remaining columns follow as tie-breakers, so the result is the same on every run. NULL
+    sorts below all values.
+
+    It is an aggregate, so each input partition sends at most one row per key, and a group is
+    never held or sorted as a whole. A key with a large share of the table is no hot spot.
     """
-    ordering = [F.col(c) if isinstance(c, str) else c for c in order]
-    ordered_by_name = {c for c in order if isinstance(c, str)}
-    ordering += [F.col(c) for c in rows.columns if c not in keys and c not in ordered_by_name]
-    window = Window.partitionBy(*keys).orderBy(*ordering)
-    return rows.withColumn("__rank", F.row_number().over(window)).filter("__rank = 1").drop("__rank")
+    pick = F.max if descending else F.min
+    best = pick(as_sortable(rows.columns, keys, order)).alias("__best")
+    return rows.groupBy(*keys).agg(best).select(*keys, "__best.*").select(*rows.columns)
 
 
 def key_conflicts(rows: DataFrame, keys: Sequence[str], nullable_keys: Sequence[str] = ()) -> DataFrame:

@@ -5,8 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 
 @dataclass(frozen=True)
@@ -15,16 +14,16 @@ class StepCount:
     rows: int
 
 
-def count_rows_written(rows: DataFrame, write: Callable[[DataFrame], None]) -> int:
-    """Run ``write`` on ``rows`` and return how many rows it wrote, without a second pass.
+def measure_while(written: DataFrame, act: Callable[[DataFrame], None], /, **measures: Column) -> dict:
+    """Run ``act`` on ``written`` and return aggregates over the rows it used, without a second pass.
 
-    Call it on the frame that is written, above its last shuffle. There each task counts once,
+    Hand over the frame that is written, above its last shuffle. There each task counts once,
     also when executors are lost and their tasks run again; below a shuffle, tasks that are
     repeated would be counted again.
     """
     seen = Observation()
-    write(rows.observe(seen, F.count(F.lit(1)).alias("rows")))
-    return seen.get["rows"]
+    act(written.observe(seen, *[column.alias(name) for name, column in measures.items()]))
+    return seen.get
 
 
 def step_report(spark: SparkSession, steps: Sequence[StepCount]) -> DataFrame:

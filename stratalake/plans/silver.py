@@ -7,33 +7,24 @@ import logging
 from pyspark.sql import DataFrame, Row, SparkSession
 
 from stratalake.config import NULLABLE_MERGE_KEYS, PipelineConfig
-from stratalake.operators.clean import conform_trips, rejected_trips
+from stratalake.operators.clean import clean_trips, conform_trips, rejected_trips
 from stratalake.operators.metrics import StepCount
 from stratalake.sinks.catalog import register_table
 from stratalake.sinks.partitioned import write_partitioned
-from stratalake.sinks.upsert import UpsertResult, upsert_table
+from stratalake.sinks.upsert import UpsertResult, upsert_first_per_key, upsert_table
 from stratalake.sources.storage import table_exists
 from stratalake.sources.tables import read_layer
 
 log = logging.getLogger(__name__)
 
 
-def silver_rows(bronze: DataFrame, config: PipelineConfig) -> DataFrame:
-    return conform_trips(bronze, config.survivor_order, one_per_merge_key=config.on_conflict == "latest")
-
-
 def upsert_silver(spark: SparkSession, bronze: DataFrame, config: PipelineConfig) -> UpsertResult:
-    """Conform ``bronze`` rows and merge them into Silver.
-
-    With ``latest`` the rows are unique per merge key by construction, so the check is skipped.
-    """
-    return upsert_table(
-        spark,
-        silver_rows(bronze, config),
-        config.silver,
-        nullable_keys=NULLABLE_MERGE_KEYS,
-        check_source=config.on_conflict == "fail",
-    )
+    """Conform ``bronze`` rows and merge them into Silver."""
+    order, descending = config.survivor_order, config.survivor_descending
+    if config.on_conflict == "latest":
+        rows = clean_trips(bronze)
+        return upsert_first_per_key(spark, rows, config.silver, order, descending, NULLABLE_MERGE_KEYS)
+    return upsert_table(spark, conform_trips(bronze, order, descending), config.silver, NULLABLE_MERGE_KEYS)
 
 
 def run_silver(spark: SparkSession, config: PipelineConfig) -> tuple[list[StepCount], list[Row] | None]:
@@ -46,11 +37,13 @@ def run_silver(spark: SparkSession, config: PipelineConfig) -> tuple[list[StepCo
     log.info("silver: merged %d rows into %s", result.source_rows, config.silver.path)
     steps = [StepCount("silver", result.source_rows)]
     if config.quarantine is not None:
-        rejected = write_partitioned(
-            rejected_trips(bronze), config.quarantine.path, "overwrite", config.quarantine.partition_columns
+        quarantine = config.quarantine
+        written = write_partitioned(
+            rejected_trips(bronze), quarantine.path, "overwrite", quarantine.partition_columns
         )
-        log.info("silver: %d rows to quarantine %s", rejected, config.quarantine.path)
+        rejected = written["rows"]
+        log.info("silver: %d rows to quarantine %s", rejected, quarantine.path)
         steps.append(StepCount("quarantine", rejected))
     if config.silver.qualified_name:
-        register_table(spark, config.silver, silver_rows(bronze, config).schema)
+        register_table(spark, config.silver, clean_trips(bronze).schema)
     return steps, result.partitions

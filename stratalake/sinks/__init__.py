@@ -1,7 +1,7 @@
 from stratalake.sinks.catalog import columns_of, register_table, registered_location
 from stratalake.sinks.jdbc import export_jdbc, jdbc_options
 from stratalake.sinks.partitioned import append_or_create, write_partitioned
-from stratalake.sinks.upsert import UpsertResult, finish_pending, upsert_table
+from stratalake.sinks.upsert import UpsertResult, finish_pending, first_per_key_over, upsert_first_per_key, upsert_table
 
 __all__ = [
     "UpsertResult",
@@ -9,9 +9,11 @@ __all__ = [
     "columns_of",
     "export_jdbc",
     "finish_pending",
+    "first_per_key_over",
     "jdbc_options",
     "register_table",
     "registered_location",
+    "upsert_first_per_key",
     "upsert_table",
     "write_partitioned",
 ]

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from stratalake.config import Layer
-from stratalake.operators.metrics import count_rows_written
+from stratalake.operators.metrics import measure_while
 from stratalake.sources.storage import has_stream_log, table_exists
 from stratalake.sources.tables import read_layer
 
@@ -17,26 +18,30 @@ def write_partitioned(
     path: str,
     mode: str,
     partition_columns: Sequence[str],
-    overwrite_only_present: bool = False,
+    only_present: bool = False,
     rebalance: bool = True,
-) -> int:
-    """Write ``rows`` and return their number.
+    helper: str | None = None,
+    **measures: Column,
+) -> dict:
+    """Write ``rows`` and return their number as ``rows``, with any further ``measures``.
 
     ``rebalance`` shuffles rows by partition before the write. Without it every task writes a
     file into every partition it holds a row of. AQE splits a partition that is too large for one
     task into several files, so a month with a third of all rows does not land in one task.
     Switch it off if the rows of a task already belong to one or two partitions.
 
-    ``overwrite_only_present`` replaces the partitions that ``rows`` holds and leaves the others.
+    ``only_present`` makes an overwrite replace the partitions that ``rows`` holds and leave the
+    others. ``helper`` names a column that only the measures need.
     """
     laid_out = rows.hint("rebalance", *partition_columns) if rebalance else rows
 
     def write(frame: DataFrame) -> None:
+        if helper is not None:
+            frame = frame.drop(helper)
         writer = frame.write.mode(mode).partitionBy(*partition_columns)
-        writer = writer.option("partitionOverwriteMode", "dynamic" if overwrite_only_present else "static")
-        writer.parquet(path)
+        writer.option("partitionOverwriteMode", "dynamic" if only_present else "static").parquet(path)
 
-    return count_rows_written(laid_out, write)
+    return measure_while(laid_out, write, rows=F.count(F.lit(1)), **measures)
 
 
 def _require_same_columns(table: DataFrame, rows: DataFrame) -> None:
@@ -55,4 +60,5 @@ def append_or_create(spark: SparkSession, rows: DataFrame, layer: Layer, rebalan
     mode = "append" if table_exists(spark, layer.path) else "overwrite"
     if mode == "append":
         _require_same_columns(read_layer(spark, layer.path, layer.partition_columns), rows)
-    return mode, write_partitioned(rows, layer.path, mode, layer.partition_columns, rebalance=rebalance)
+    written = write_partitioned(rows, layer.path, mode, layer.partition_columns, rebalance=rebalance)
+    return mode, written["rows"]

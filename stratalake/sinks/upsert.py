@@ -1,18 +1,30 @@
-"""The stored form of the upsert: merge into the partitions that the source touches."""
+"""The stored form of the upsert: merge into the partitions that the source touches.
+
+The layer's keys must determine its partition columns, so that a match can only lie in the same
+partition. Then only partitions present in the source are read and replaced.
+
+The merge result first goes to a folder inside the table that readers do not see. Once it is
+complete it replaces the partitions. A run that dies at any point loses nothing: an incomplete
+result is dropped, and a complete one is published by the next run, which gives the same table
+however often it is done. One writer per table at a time. A reader during the publish step can
+see some partitions replaced and others not yet.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 
 from stratalake.config import Layer
-from stratalake.operators.dedup import require_unique
-from stratalake.operators.merge import merge_frames
+from stratalake.operators.dedup import as_sortable, first_per_key, require_unique
+from stratalake.operators.merge import check_columns, merge_frames
 from stratalake.session import scratch_dir
 from stratalake.sinks.partitioned import write_partitioned
-from stratalake.sources.storage import path_exists, remove, size_in_bytes, table_exists
+from stratalake.sources.storage import mark, path_exists, remove, size_in_bytes, table_exists
 from stratalake.sources.tables import in_partitions, partition_values, read_layer
 
 # A source below both bounds is worth the extra semi join that spares the target its shuffle.
@@ -28,26 +40,28 @@ class UpsertResult:
     partitions: list[Row] | None
 
 
-def _pending(layer: Layer) -> str:
+def _pending_rows(layer: Layer) -> str:
     return f"{layer.path}/.pending/rows"
 
 
-def finish_pending(spark: SparkSession, layer: Layer) -> None:
-    """Publish a merge result that an earlier run completed but may not have published.
+def _pending_mark(layer: Layer) -> str:
+    return f"{layer.path}/.pending/complete"
 
-    The result stays until its partitions are all replaced, and replacing them again gives the
-    same table, so a run that dies at any point loses nothing. A result that is itself
-    incomplete has no success marker and is dropped; the table is then still as it was.
-    """
-    pending = _pending(layer)
-    if path_exists(spark, f"{pending}/_SUCCESS"):
-        merged = read_layer(spark, pending, layer.partition_columns)
-        write_partitioned(
-            merged, layer.path, "overwrite", layer.partition_columns, overwrite_only_present=True, rebalance=False
-        )
+
+def finish_pending(spark: SparkSession, layer: Layer) -> None:
+    """Publish a complete merge result that an earlier run left, or drop an incomplete one."""
+    if path_exists(spark, _pending_mark(layer)):
+        merged = read_layer(spark, _pending_rows(layer), layer.partition_columns)
+        write_partitioned(merged, layer.path, "overwrite", layer.partition_columns, only_present=True, rebalance=False)
         spark.catalog.refreshByPath(layer.path)
-    if path_exists(spark, pending):
-        remove(spark, pending)
+        # The mark goes first: rows without it are never published, a mark without rows would fail.
+        remove(spark, _pending_mark(layer))
+    remove(spark, f"{layer.path}/.pending")
+
+
+def _publish(spark: SparkSession, layer: Layer) -> None:
+    mark(spark, _pending_mark(layer))
+    finish_pending(spark, layer)
 
 
 def upsert_table(
@@ -59,16 +73,10 @@ def upsert_table(
 ) -> UpsertResult:
     """Merge ``source`` into the table of ``layer`` on the layer's keys, or create the table.
 
-    The layer's keys must determine its partition columns, so that a match can only be in the
-    same partition. Then only partitions present in the source are read and replaced.
-
     The source is written once to the shared scratch folder. That cuts its lineage, gives the
     optimizer its true size, and keeps it from being computed for each of its uses.
     ``check_source`` costs an aggregation over the keys; switch it off for a source that is
     unique by construction.
-
-    One writer per table at a time. A reader during the publish step can see some partitions
-    replaced and others not yet.
     """
     if not layer.keys:
         raise ValueError(f"{layer.path} has no merge keys")
@@ -76,7 +84,7 @@ def upsert_table(
     parts = layer.partition_columns
     first_load = not table_exists(spark, layer.path)
     if first_load and not check_source:
-        return UpsertResult(write_partitioned(source, layer.path, "overwrite", parts), None)
+        return UpsertResult(write_partitioned(source, layer.path, "overwrite", parts)["rows"], None)
 
     staged_path = scratch_dir(spark, "merge-source")
     try:
@@ -85,7 +93,7 @@ def upsert_table(
         if check_source:
             require_unique(staged, layer.keys, nullable_keys)
         if first_load:
-            return UpsertResult(write_partitioned(staged, layer.path, "overwrite", parts), None)
+            return UpsertResult(write_partitioned(staged, layer.path, "overwrite", parts)["rows"], None)
 
         touched = partition_values(staged, parts)
         source_rows = staged.count()
@@ -93,8 +101,94 @@ def upsert_table(
             small = source_rows <= SMALL_SOURCE_ROWS and size_in_bytes(spark, staged_path) <= SMALL_SOURCE_BYTES
             target = read_layer(spark, layer.path, parts).filter(in_partitions(touched, parts))
             merged = merge_frames(target, staged, layer.keys, nullable_keys, small_source=small)
-            write_partitioned(merged, _pending(layer), "overwrite", parts)
-            finish_pending(spark, layer)
+            write_partitioned(merged, _pending_rows(layer), "overwrite", parts)
+            _publish(spark, layer)
         return UpsertResult(source_rows, touched)
     finally:
         remove(spark, staged_path)
+
+
+_FROM_TARGET = "__from_target"
+_TARGET_ROWS = "__target_rows"
+
+
+def first_per_key_over(
+    target: DataFrame, rows: DataFrame, keys: Sequence[str], order: Sequence[str] = (), descending: bool = False
+) -> DataFrame:
+    """Deduplicate ``rows`` and upsert them into ``target`` in one shuffle.
+
+    A row of ``rows`` always goes before a target row of its key. The target must hold each key
+    once, and NULLs count as equal keys. ``__from_target`` says where the result's row is from,
+    and ``__target_rows`` how many target rows had its key.
+    """
+    check_columns(target, rows)
+    # The flag leads the order, so its larger value must lose.
+    losing = F.lit(not descending)
+    winning = F.lit(descending)
+    both = target.withColumn("__rank", losing).unionByName(rows.select(*target.columns).withColumn("__rank", winning))
+    pick = F.max if descending else F.min
+    return (
+        both.groupBy(*keys)
+        .agg(
+            pick(as_sortable(both.columns, keys, ["__rank", *order])).alias("__best"),
+            F.count_if(F.col("__rank") == losing).alias(_TARGET_ROWS),
+        )
+        .select(*keys, "__best.*", _TARGET_ROWS)
+        .select(*target.columns, (F.col("__rank") == losing).alias(_FROM_TARGET), _TARGET_ROWS)
+    )
+
+
+def upsert_first_per_key(
+    spark: SparkSession,
+    rows: DataFrame,
+    layer: Layer,
+    order: Sequence[str] = (),
+    descending: bool = False,
+    nullable_keys: Sequence[str] = (),
+) -> UpsertResult:
+    """Merge the first of ``rows`` per key of ``layer`` into its table, or create the table.
+
+    Same table as ``upsert_table(first_per_key(rows, ...))``. A large source is deduplicated and
+    merged in one shuffle of source and target; that shuffle and the one that lays out the files
+    are all. It needs a target without duplicate keys and keys that are never NULL unless they
+    may match as NULL. Both are checked along the way; where they do not hold, and for a small
+    source, which can be broadcast, the join does the work instead.
+
+    ``rows`` is read twice, the first time for its partitions and key columns alone.
+    """
+    finish_pending(spark, layer)
+    parts, keys = layer.partition_columns, layer.keys
+
+    def joined() -> UpsertResult:
+        unique = first_per_key(rows, keys, order, descending)
+        return upsert_table(spark, unique, layer, nullable_keys, check_source=False)
+
+    if not table_exists(spark, layer.path):
+        return joined()
+    null_in_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys if k not in nullable_keys], F.lit(False))
+    profile = (
+        rows.groupBy(*parts)
+        .agg(F.count(F.lit(1)).alias("__rows"), F.count_if(null_in_key).alias("__null_keys"))
+        .collect()
+    )
+    if sum(p["__rows"] for p in profile) <= SMALL_SOURCE_ROWS or any(p["__null_keys"] for p in profile):
+        return joined()
+
+    target = read_layer(spark, layer.path, parts).filter(in_partitions(profile, parts))
+    merged = first_per_key_over(target, rows, keys, order, descending).withColumn(
+        "__origin",
+        F.when(F.col(_TARGET_ROWS) > 1, F.lit(2)).when(F.col(_FROM_TARGET), F.lit(1)).otherwise(F.lit(0)).cast("byte"),
+    )
+    written = write_partitioned(
+        merged.drop(_FROM_TARGET, _TARGET_ROWS),
+        _pending_rows(layer),
+        "overwrite",
+        parts,
+        helper="__origin",
+        source_rows=F.count_if(F.col("__origin") == 0),
+        duplicate_keys=F.count_if(F.col("__origin") == 2),
+    )
+    if written["duplicate_keys"]:
+        return joined()
+    _publish(spark, layer)
+    return UpsertResult(written["source_rows"], [Row(**{c: p[c] for c in parts}) for p in profile])

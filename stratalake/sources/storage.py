@@ -40,6 +40,12 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return any(n == STREAM_LOG or not n.startswith(("_", ".")) for n in names)
 
 
+def mark(spark: SparkSession, path: str) -> None:
+    """Create an empty file."""
+    files, name = _open(spark, path)
+    files.create(name, True).close()
+
+
 def size_in_bytes(spark: SparkSession, path: str) -> int:
     files, folder = _open(spark, path)
     return files.getContentSummary(folder).getLength()

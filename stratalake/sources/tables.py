@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Sequence
 from functools import reduce
 
@@ -25,16 +26,34 @@ def partition_values(rows: DataFrame, partition_columns: Sequence[str]) -> list[
     return rows.select(*partition_columns).distinct().collect()
 
 
+def _any_of(conditions: Sequence[Column]) -> Column:
+    """OR as a balanced tree; a chain of thousands would exhaust the optimizer's stack."""
+    if not conditions:
+        return F.lit(False)
+    if len(conditions) == 1:
+        return conditions[0]
+    half = len(conditions) // 2
+    return _any_of(conditions[:half]) | _any_of(conditions[half:])
+
+
+def _one_of(column: str, values: Sequence) -> Column:
+    known = [v for v in values if v is not None]
+    found = [F.col(column).isin(known)] if known else []
+    return _any_of(found + ([F.col(column).isNull()] if len(known) < len(values) else []))
+
+
 def in_partitions(partitions: Sequence[Row], partition_columns: Sequence[str]) -> Column:
     """A filter for the given partitions on the stored partition columns alone.
 
     Spark evaluates it on folder names, so files of other partitions are not read.
     """
-
-    def one(values: Row) -> Column:
-        return reduce(
-            lambda a, b: a & b,
-            [F.col(c).isNull() if values[c] is None else F.col(c) == F.lit(values[c]) for c in partition_columns],
-        )
-
-    return reduce(lambda a, b: a | b, [one(p) for p in partitions], F.lit(False))
+    *outer, inner = partition_columns
+    folders = defaultdict(list)
+    for values in partitions:
+        folders[tuple(values[c] for c in outer)].append(values[inner])
+    return _any_of(
+        [
+            reduce(lambda a, b: a & b, [_one_of(c, [v]) for c, v in zip(outer, prefix)] + [_one_of(inner, found)])
+            for prefix, found in folders.items()
+        ]
+    )
