@@ -18,8 +18,12 @@ def any_per_key(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def as_sortable(columns: Sequence[str], keys: Sequence[str], order: Sequence[str]) -> Column:
-    """A struct of all non-key columns, those of ``order`` first. Structs compare field by field."""
-    return F.struct(*order, *[c for c in columns if c not in keys and c not in order])
+    """A struct of all non-key columns, those of ``order`` first. Structs compare field by field.
+
+    A key column in ``order`` is constant per key and so left out.
+    """
+    leading = [c for c in order if c not in keys]
+    return F.struct(*leading, *[c for c in columns if c not in keys and c not in leading])
 
 
 def first_per_key(
@@ -33,6 +37,8 @@ def first_per_key(
     It is an aggregate, so each input partition sends at most one row per key, and a group is
     never held or sorted as a whole. A key with a large share of the table is no hot spot.
     """
+    if set(rows.columns) == set(keys):
+        return rows.distinct()
     pick = F.max if descending else F.min
     best = pick(as_sortable(rows.columns, keys, order)).alias("__best")
     return rows.groupBy(*keys).agg(best).select(*keys, "__best.*").select(*rows.columns)

@@ -27,6 +27,8 @@ def run_gold(spark: SparkSession, config: PipelineConfig, partitions: Sequence[R
     if not table_exists(spark, config.silver.path):
         log.warning("gold: Silver holds no rows yet")
         return StepCount("gold", 0)
+    if partitions is not None and not partitions:
+        return StepCount("gold", 0)
     silver = read_layer(spark, config.silver.path, config.silver.partition_columns)
     if partitions is not None:
         silver = silver.filter(in_partitions(partitions, config.silver.partition_columns))

@@ -1,0 +1,135 @@
+import random
+
+import pytest
+from conftest import rows_of
+from pyspark.sql import functions as F
+
+from stratalake.operators import (
+    DuplicateKeyError,
+    any_per_key,
+    clean_trips,
+    conform_trips,
+    first_per_key,
+    key_conflicts,
+    monthly_summary,
+    preview,
+    require_unique,
+)
+
+SCHEMA = "k int, s string, a int, b int"
+
+
+def sample(seed=1, n=400):
+    rnd = random.Random(seed)
+    pick = lambda *values: rnd.choice(values)
+    return [(pick(None, 1, 2, 3), pick(None, "x", "y"), pick(None, 1, 2, 3), rnd.randrange(1000)) for _ in range(n)]
+
+
+def low(value):
+    return (value is not None, value if value is not None else 0)
+
+
+@pytest.mark.parametrize("descending", [False, True])
+def test_first_per_key_against_brute_force(spark, descending):
+    rows = sample()
+    best = {}
+    for r in rows:
+        rank = (low(r[2]), low(r[3]))
+        old = best.get(r[:2])
+        if old is None or (rank > old[0] if descending else rank < old[0]):
+            best[r[:2]] = (rank, r)
+    df = spark.createDataFrame(rows, SCHEMA).repartition(7)
+    got = first_per_key(df, ["k", "s"], ["a"], descending)
+    assert got.columns == df.columns
+    assert rows_of(got) == sorted((r for _, r in best.values()), key=repr)
+
+
+def test_any_per_key_keeps_each_key_once(spark):
+    df = spark.createDataFrame(sample(), SCHEMA)
+    got = any_per_key(df, ["k", "s"])
+    assert rows_of(got.select("k", "s")) == rows_of(df.select("k", "s").distinct())
+
+
+def test_dedup_reduces_before_the_shuffle(spark, plan_of):
+    plan = plan_of(first_per_key(spark.createDataFrame(sample(), SCHEMA), ["k", "s"]))
+    before, after = plan.split("Exchange hashpartitioning", 1)
+    assert "partial_min" in after and "Window" not in plan
+
+
+def test_hot_key_sends_one_row_per_input_partition(spark):
+    df = spark.range(0, 30000, 1, 6).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"), F.col("id").alias("v")
+    )
+    got = first_per_key(df, ["k"])
+    assert got.count() == 20001
+    assert got.filter("k = 0").first().v == 0
+
+
+def test_conflicts_follow_the_merge_semantics_of_null(spark):
+    df = spark.createDataFrame([(1, "x"), (1, "y"), (None, "n"), (None, "m"), (2, "z")], "k int, v string")
+    assert rows_of(key_conflicts(df, ["k"])) == [(1, 2)]
+    assert rows_of(key_conflicts(df, ["k"], ["k"])) == [(1, 2), (None, 2)]
+    with pytest.raises(DuplicateKeyError, match="'k': 1"):
+        require_unique(df, ["k"])
+    require_unique(df.filter("v in ('x', 'n', 'm', 'z')"), ["k"])
+
+
+def trips(spark):
+    day = "2020-01-01 00:00:00"
+    rows = [
+        (1, day, day, "1", "1", "cash", 5.0, "2024-01-01 00:00:00", "f1"),
+        (1, day, day, "1", "1", "cash", 4.0, "2024-01-01 00:00:00", "f1"),
+        (1, day, day, "1", "1", "card", 3.0, "2024-02-01 00:00:00", "f2"),
+        (None, day, day, "1", "1", None, 2.0, "2024-01-01 00:00:00", "f1"),
+        (None, day, day, "1", "1", None, 2.0, "2024-01-01 00:00:00", "f1"),
+        (2, "bad", day, "1", "1", "cash", 9.0, "2024-01-01 00:00:00", "f1"),
+    ]
+    return spark.createDataFrame(
+        rows,
+        "vendorid bigint, tpep_pickup_datetime string, tpep_dropoff_datetime string, passenger_count string, "
+        "trip_distance string, payment_type string, total_amount double, ingestion_timestamp string, source_file string",
+    )
+
+
+def test_one_row_per_trip_and_file(spark):
+    got = conform_trips(trips(spark)).select("vendorid", "source_file", "total_amount")
+    assert rows_of(got) == sorted([(1, "f1", 5.0), (1, "f2", 3.0), (None, "f1", 2.0)], key=repr)
+
+
+def test_one_row_per_trip_is_the_two_step_result(spark):
+    got = conform_trips(trips(spark), one_per_merge_key=True)
+    assert rows_of(got.select("vendorid", "source_file", "total_amount")) == sorted(
+        [(1, "f2", 3.0), (None, "f1", 2.0)], key=repr
+    )
+    per_file = conform_trips(trips(spark))
+    again = first_per_key(
+        per_file, ["vendorid", "pickup_ts", "dropoff_ts"], ["ingestion_timestamp", "source_file"], descending=True
+    )
+    assert rows_of(got) == rows_of(again.select(got.columns))
+
+
+def test_clean_keeps_duplicates(spark):
+    assert clean_trips(trips(spark)).count() == 5
+
+
+def test_summary_groups_null_payment_and_sums_exactly(spark):
+    df = spark.createDataFrame(
+        [(2020, 1, None, 0.1), (2020, 1, None, 0.2), (2020, 1, "a", 10.305), (2020, 1, "a", float("nan"))],
+        "year int, month int, payment_type string, total_amount double",
+    )
+    assert rows_of(monthly_summary(df)) == sorted([(2020, 1, None, 2, 0.3), (2020, 1, "a", 2, 10.31)], key=repr)
+    plain = {r.payment_type: r.total_amount_collected for r in monthly_summary(df, exact=False).collect()}
+    assert plain[None] == 0.1 + 0.2 and plain["a"] != plain["a"]
+
+
+def test_summary_reads_two_columns_and_prunes(spark, tmp_path, plan_of):
+    path = str(tmp_path / "t")
+    clean_trips(trips(spark)).write.partitionBy("year", "month").parquet(path)
+    plan = plan_of(monthly_summary(spark.read.parquet(path).filter("year = 2020 AND month = 1")))
+    assert "ReadSchema: struct<payment_type:string,total_amount:double>" in plan
+    assert "PartitionFilters: [isnotnull(year" in plan
+    assert "partial_count" in plan
+
+
+def test_preview_is_ordered(spark):
+    assert [r.id for r in preview(spark.range(100).repartition(5), ["id"]).collect()] == [0, 1, 2, 3, 4]

@@ -1,0 +1,92 @@
+import random
+
+import pytest
+from conftest import rows_of
+
+from stratalake.operators import inserted_rows, merge_frames, retained_rows, updated_rows
+
+TARGET = [(1, "a"), (2, "b"), (2, "b2"), (None, "n")]
+SOURCE = [(2, "X"), (3, "Y"), (None, "N")]
+
+
+@pytest.fixture
+def pair(spark):
+    return spark.createDataFrame(TARGET, "k int, v string"), spark.createDataFrame(SOURCE, "k int, v string")
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_null_keys_do_not_match_by_default(pair, small):
+    want = [(1, "a"), (2, "X"), (2, "X"), (3, "Y"), (None, "n"), (None, "N")]
+    assert rows_of(merge_frames(*pair, ["k"], small_source=small)) == sorted(want, key=repr)
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_null_keys_match_where_asked(pair, small):
+    want = [(1, "a"), (2, "X"), (2, "X"), (3, "Y"), (None, "N")]
+    assert rows_of(merge_frames(*pair, ["k"], ["k"], small_source=small)) == sorted(want, key=repr)
+
+
+def test_branches_add_up_to_the_merge(pair):
+    target, source = pair
+    parts = updated_rows(target, source, ["k"]).union(retained_rows(target, source, ["k"]))
+    parts = parts.union(inserted_rows(target, source, ["k"]))
+    assert rows_of(parts) == rows_of(merge_frames(target, source, ["k"]))
+
+
+def test_extra_source_columns_are_ignored_and_order_does_not_matter(spark, pair):
+    source = spark.createDataFrame([("X", 9, 2)], "v string, extra int, k int")
+    assert rows_of(merge_frames(pair[0], source, ["k"])) == sorted(
+        [(1, "a"), (2, "X"), (2, "X"), (None, "n")], key=repr
+    )
+
+
+def test_missing_or_retyped_columns_are_refused(spark, pair):
+    with pytest.raises(ValueError, match="lacks column 'v'"):
+        merge_frames(pair[0], spark.createDataFrame([(1,)], "k int"), ["k"])
+    with pytest.raises(ValueError, match="'v' is string in the target but int"):
+        merge_frames(pair[0], spark.createDataFrame([(1, 1)], "k int, v int"), ["k"])
+
+
+def brute_force(target, source, nullable):
+    def matches(t, s):
+        return all((a is None and b is None and k in nullable) or (a is not None and a == b) for k, a, b in zip("kj", t, s))
+
+    out = []
+    for t in target:
+        found = [s for s in source if matches(t, s)]
+        out.append(found[0] if found else t)
+    out += [s for s in source if not any(matches(t, s) for t in target)]
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("nullable", [(), ("k",), ("k", "j")])
+@pytest.mark.parametrize("small", [False, True])
+def test_against_brute_force(spark, nullable, small):
+    rnd = random.Random(len(nullable))
+    some = lambda n: [(rnd.choice([None, *range(6)]), rnd.choice([None, "x", "y", "z"]), i) for i in range(n)]
+    target = some(60)
+    source = list({r[:2]: r for r in some(40)}.values())
+    schema = "k int, j string, v int"
+    got = merge_frames(
+        spark.createDataFrame(target, schema), spark.createDataFrame(source, schema), ["k", "j"], nullable, small
+    )
+    assert rows_of(got) == brute_force(target, source, nullable)
+
+
+def test_small_source_is_broadcast_and_target_not_shuffled(spark, tmp_path, plan_of):
+    spark.range(1000).selectExpr("id AS k", "id AS v").write.parquet(str(tmp_path / "t"))
+    spark.range(10).selectExpr("id AS k", "-id AS v").write.parquet(str(tmp_path / "s"))
+    target, source = spark.read.parquet(str(tmp_path / "t")), spark.read.parquet(str(tmp_path / "s"))
+    plan = plan_of(merge_frames(target, source, ["k"], small_source=True))
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert plan.count("Exchange hashpartitioning") == 1  # the matched keys, at most one per source row
+
+
+def test_large_source_shuffles_distinct_target_keys(spark, pair, plan_of):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(merge_frames(*pair, ["k"]))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" in plan and "LeftAnti" in plan and "LeftOuter" in plan
+    assert "Cartesian" not in plan and "NestedLoop" not in plan and "FullOuter" not in plan
