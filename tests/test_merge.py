@@ -90,3 +90,28 @@ def test_large_source_shuffles_distinct_target_keys(spark, pair, plan_of):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "SortMergeJoin" in plan and "LeftAnti" in plan and "LeftOuter" in plan
     assert "Cartesian" not in plan and "NestedLoop" not in plan and "FullOuter" not in plan
+
+
+def test_hot_target_key_is_split(spark, plan_of):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
+        "spark.sql.shuffle.partitions": "8",
+    }
+    target = spark.range(0, 60000, 1, 8).selectExpr("CASE WHEN id % 3 = 0 THEN -1 ELSE id END AS k", "uuid() AS v")
+    source = spark.range(-1, 100).selectExpr("id AS k", "'new' AS v")
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        merged = merge_frames(target, source, ["k"])
+        assert merged.filter("k = -1 AND v = 'new'").count() == 20000
+        everything = merged.selectExpr("k", "v")
+        everything.collect()
+        assert "SortMergeJoin(skew=true)" in plan_of(everything)
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+        spark.conf.set("spark.sql.shuffle.partitions", "4")

@@ -138,6 +138,14 @@ def test_each_file_is_ingested_once(spark, config, tmp_path):
     assert count() == 8
 
 
+def test_new_file_with_an_old_date_is_ingested_too(spark, config, tmp_path):
+    progress = str(tmp_path / "progress")
+    ingest_new_files(spark, config, progress)
+    drop(tmp_path / "drop", "old.csv", CORRECTED, 1_600_000_000)
+    ingest_new_files(spark, config, progress)
+    assert read_layer(spark, config.bronze.path, ("year", "month")).count() == 8
+
+
 def test_incremental_refresh_equals_one_batch(spark, config, tmp_path):
     for lot in (JANUARY, CORRECTED):
         drop(tmp_path / "drop", f"{len(lot)}.csv", lot, 1_700_000_000 + len(lot))
