@@ -9,9 +9,9 @@ from dataclasses import replace
 from stratalake.config import Layer, PipelineConfig, standard_layers
 from stratalake.operators import step_report
 from stratalake.plans import run_all, run_bronze, run_gold, run_silver
-from stratalake.session import build_session
+from stratalake.session import build_session, fit_shuffles
 from stratalake.sinks import export_jdbc
-from stratalake.sources import read_layer
+from stratalake.sources import read_layer, size_in_bytes
 from stratalake.streaming import ingest_new_files, refresh_from_new_rows
 
 
@@ -57,6 +57,8 @@ def main(argv: list[str] | None = None) -> None:
     args = parse(argv)
     config = config_from(args)
     spark = build_session(f"stratalake-{args.step}")
+    inputs = {"silver": config.bronze.path, "gold": config.silver.path, "export": config.gold.path}
+    fit_shuffles(spark, size_in_bytes(spark, inputs.get(args.step, config.dropzone)))
     steps = []
     if args.step == "all":
         steps = run_all(spark, config)

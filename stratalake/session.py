@@ -35,6 +35,26 @@ def build_session(app_name: str = "stratalake", master: str | None = None, **con
     return builder.getOrCreate()
 
 
+PARTITION_BYTES = 512 * 1024 * 1024
+MIN_PARTITIONS, MAX_PARTITIONS = 200, 50_000
+
+
+def shuffle_partitions_for(input_bytes: int) -> int:
+    """How many partitions to shuffle an input of this stored size into.
+
+    Spark's default of 200 would make partitions of 500 GB out of 100 TB. AQE merges partitions
+    that turn out small, but splits only those of skewed joins and of file layout, so the number
+    is chosen on the high side. Beyond the maximum the map outputs would become too many pieces.
+    """
+    return min(max(MIN_PARTITIONS, -(-input_bytes // PARTITION_BYTES)), MAX_PARTITIONS)
+
+
+def fit_shuffles(spark: SparkSession, input_bytes: int) -> None:
+    """Set the number of shuffle partitions, unless the job was started with one."""
+    if not spark.sparkContext.getConf().contains("spark.sql.shuffle.partitions"):
+        spark.conf.set("spark.sql.shuffle.partitions", shuffle_partitions_for(input_bytes))
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder name below ``spark.checkpoint.dir``, which all executors share.
 

@@ -154,7 +154,8 @@ def upsert_first_per_key(
     may match as NULL. Both are checked along the way; where they do not hold, and for a small
     source, which can be broadcast, the join does the work instead.
 
-    ``rows`` is read twice, the first time for its partitions and key columns alone.
+    ``rows`` is read twice, the first time for its partitions and key columns alone. Should the
+    second reading bring other partitions, the join, which reads once, takes over as well.
     """
     finish_pending(spark, layer)
     parts, keys = layer.partition_columns, layer.keys
@@ -175,9 +176,10 @@ def upsert_first_per_key(
         return joined()
 
     target = read_layer(spark, layer.path, parts).filter(in_partitions(profile, parts))
+    # Rows of a partition that the first reading did not show would replace that partition unmerged.
+    unusable = (F.col(_TARGET_ROWS) > 1) | ~F.coalesce(in_partitions(profile, parts), F.lit(False))
     merged = first_per_key_over(target, rows, keys, order, descending).withColumn(
-        "__origin",
-        F.when(F.col(_TARGET_ROWS) > 1, F.lit(2)).when(F.col(_FROM_TARGET), F.lit(1)).otherwise(F.lit(0)).cast("byte"),
+        "__origin", F.when(unusable, 2).when(F.col(_FROM_TARGET), 1).otherwise(0).cast("byte")
     )
     written = write_partitioned(
         merged.drop(_FROM_TARGET, _TARGET_ROWS),
@@ -186,9 +188,9 @@ def upsert_first_per_key(
         parts,
         helper="__origin",
         source_rows=F.count_if(F.col("__origin") == 0),
-        duplicate_keys=F.count_if(F.col("__origin") == 2),
+        unusable=F.count_if(F.col("__origin") == 2),
     )
-    if written["duplicate_keys"]:
+    if written["unusable"]:
         return joined()
     _publish(spark, layer)
     return UpsertResult(written["source_rows"], [Row(**{c: p[c] for c in parts}) for p in profile])

@@ -47,8 +47,10 @@ def mark(spark: SparkSession, path: str) -> None:
 
 
 def size_in_bytes(spark: SparkSession, path: str) -> int:
-    files, folder = _open(spark, path)
-    return files.getContentSummary(folder).getLength()
+    """Stored size of a folder, or of all folders that a glob matches."""
+    files, pattern = _open(spark, path)
+    found = files.globStatus(pattern) or []
+    return sum(files.getContentSummary(status.getPath()).getLength() for status in found)
 
 
 def remove(spark: SparkSession, path: str) -> None:

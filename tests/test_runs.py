@@ -8,7 +8,9 @@ from stratalake.__main__ import config_from, parse
 from stratalake.config import Layer, PipelineConfig, standard_layers
 from stratalake.operators import DuplicateKeyError, StepCount, step_report
 from stratalake.plans import EmptyInputError, run_all, run_bronze, run_gold, run_silver
-from stratalake.sources import read_layer
+from stratalake.session import fit_shuffles, shuffle_partitions_for
+from stratalake.sinks import write_partitioned
+from stratalake.sources import read_layer, size_in_bytes
 from stratalake.streaming import ingest_new_files, refresh_from_new_rows, upsert_new_rows
 
 HEADER = "VendorID,tpep_pickup_datetime,tpep_dropoff_datetime,passenger_count,trip_distance,payment_type,total_amount,tip"
@@ -105,6 +107,39 @@ def test_gold_of_some_partitions_leaves_the_others(spark, config, tmp_path):
     assert gold_of(spark, config) == sorted([*GOLD, (2020, 2, "2", 1, 3.0)], key=repr)
 
 
+def test_gold_group_that_left_silver_stays(spark, config):
+    run_all(spark, config)
+    silver = read_layer(spark, config.silver.path, ("year", "month")).filter("payment_type = '1'")
+    only = replace(config, silver=replace(config.silver, path=config.silver.path + "_only"))
+    write_partitioned(silver, only.silver.path, "overwrite", ("year", "month"))
+    run_gold(spark, replace(only, gold=replace(only.gold, table=None)))
+    assert gold_of(spark, config) == GOLD
+
+
+def test_failed_batch_is_run_again(spark, config, tmp_path, monkeypatch):
+    from stratalake.streaming import refresh
+
+    ingest_new_files(spark, config, str(tmp_path / "p1"))
+    real = refresh.run_gold
+
+    def dies(*_):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(refresh, "run_gold", dies)
+    with pytest.raises(Exception):
+        refresh_from_new_rows(spark, config, str(tmp_path / "p2"))
+    monkeypatch.setattr(refresh, "run_gold", real)
+    refresh_from_new_rows(spark, config, str(tmp_path / "p2"))
+    assert gold_of(spark, config) == GOLD
+
+
+def test_unparsable_pickup_goes_to_the_null_partition(spark, config):
+    run_bronze(spark, config)
+    bronze = read_layer(spark, config.bronze.path, ("year", "month"))
+    assert [r.total_amount for r in bronze.filter("year IS NULL").collect()] == [99.0]
+    assert Path(config.bronze.path, "year=__HIVE_DEFAULT_PARTITION__", "month=__HIVE_DEFAULT_PARTITION__").exists()
+
+
 def test_empty_drop_zone(spark, config, tmp_path):
     drop(tmp_path / "none", "empty.csv", [], 1_700_000_000)
     empty = replace(config, dropzone=str(tmp_path / "none"))
@@ -176,3 +211,13 @@ def test_command_line():
     for wrong in (["bronze", "--root", "/x"], ["export", "--root", "/x"], ["nothing", "--root", "/x"]):
         with pytest.raises(SystemExit):
             parse(wrong)
+
+
+def test_shuffle_partitions_follow_the_input(spark, tmp_path):
+    assert [shuffle_partitions_for(n) for n in (0, 10**9, 10**12, 10**14)] == [200, 200, 1863, 50_000]
+    for name in ("a", "b"):
+        drop(tmp_path / name, "x.csv", [], 1)
+    assert size_in_bytes(spark, str(tmp_path / "*")) == 2 * (len(HEADER) + 1)
+    assert size_in_bytes(spark, str(tmp_path / "missing")) == 0
+    fit_shuffles(spark, 10**14)  # the tests' session was started with a number of its own
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "4"

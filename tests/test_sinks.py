@@ -212,6 +212,20 @@ def test_null_in_a_strict_key_falls_back_to_the_join(spark, layer, monkeypatch):
     assert stored(spark, layer) == sorted([(None, "n", 2020), (None, "m", 2020)], key=repr)
 
 
+def test_rows_that_change_between_readings_fall_back_to_the_join(spark, layer, monkeypatch):
+    monkeypatch.setattr(upsert, "SMALL_SOURCE_ROWS", 0)
+    joined = []
+    monkeypatch.setattr(upsert, "upsert_table", lambda *a, **k: joined.append(1) or upsert_table(*a, **k))
+    write_partitioned(frame(spark, TARGET), layer.path, "overwrite", PARTS)
+    moving = frame(spark, [(7, "m")], "k int, v string").selectExpr(
+        "k", "v", "cast(unix_micros(current_timestamp()) % 1000000000 AS int) AS year"
+    )
+    upsert_first_per_key(spark, moving, layer)
+    assert joined == [1]
+    assert [r[:2] for r in stored(spark, layer) if r[0] == 7] == [(7, "m")]
+    assert len(stored(spark, layer)) == len(TARGET) + 1
+
+
 def test_one_shuffle_form_shuffles_once(spark, plan_of):
     target, rows = frame(spark, TARGET), frame(spark, SOURCE)
     plan = plan_of(upsert.first_per_key_over(target, rows, ["k"]))
