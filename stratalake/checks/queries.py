@@ -266,20 +266,20 @@ def preview_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return O.preview(named, SUMMARY_KEYS)
 
 
-def _gold_merged_twice(spark: SparkSession, sf_dir: str, nullable_keys: tuple[str, ...]) -> DataFrame:
+def _gold_merged_onto_itself(spark: SparkSession, sf_dir: str, nullable_keys: tuple[str, ...]) -> DataFrame:
     layer = Layer(scratch_dir(spark, "gold-upsert"), keys=SUMMARY_KEYS)
-    for _ in range(2):
-        upsert_table(spark, _summary(spark, sf_dir), layer, nullable_keys)
+    upsert_table(spark, _summary(spark, sf_dir), layer, nullable_keys)
+    upsert_table(spark, read_layer(spark, layer.path, PARTITION_COLUMNS), layer, nullable_keys)
     return read_layer(spark, layer.path, PARTITION_COLUMNS)
 
 
 def gold_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Merged onto itself with ``=``: groups without payment type are inserted once more."""
-    return _gold_merged_twice(spark, sf_dir, ())
+    return _gold_merged_onto_itself(spark, sf_dir, ())
 
 
 def gold_upsert_nullsafe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _gold_merged_twice(spark, sf_dir, NULLABLE_SUMMARY_KEYS)
+    return _gold_merged_onto_itself(spark, sf_dir, NULLABLE_SUMMARY_KEYS)
 
 
 # Sinks and catalog
