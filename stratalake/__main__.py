@@ -12,7 +12,7 @@ from stratalake.plans import run_all, run_bronze, run_gold, run_silver
 from stratalake.session import build_session, fit_shuffles
 from stratalake.sinks import export_jdbc
 from stratalake.sources import read_layer, size_in_bytes
-from stratalake.streaming import ingest_new_files, refresh_from_new_rows
+from stratalake.streaming import ingest_new_files, quarantine_new_rows, refresh_from_new_rows
 
 
 def parse(argv: list[str] | None = None) -> argparse.Namespace:
@@ -72,6 +72,7 @@ def main(argv: list[str] | None = None) -> None:
         progress = f"{args.root.rstrip('/')}/progress"
         ingest_new_files(spark, config, f"{progress}/ingest", args.max_files)
         refresh_from_new_rows(spark, config, f"{progress}/refresh", args.max_files)
+        quarantine_new_rows(spark, config, f"{progress}/quarantine", args.max_files)
     else:
         gold = read_layer(spark, config.gold.path, config.gold.partition_columns)
         export_jdbc(gold, args.jdbc_url, args.jdbc_table, driver=args.jdbc_driver)

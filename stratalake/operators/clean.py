@@ -70,8 +70,7 @@ def conform_trips(
     By default one row per trip and source file survives. ``one_per_merge_key`` also reduces
     a trip found in several files to one row. That equals deduplicating twice with the same
     order, since the first row of all is the first of the first rows per file, so it is done in
-    one shuffle. The period follows from the pickup and is added after that shuffle.
+    one shuffle.
     """
-    valid = with_valid_dates(typed_trips(trips))
     keys = MERGE_KEYS if one_per_merge_key else DEDUP_KEYS
-    return with_trip_period(first_per_key(valid, keys, order, descending))
+    return first_per_key(clean_trips(trips), keys, order, descending)

@@ -20,10 +20,11 @@ def any_per_key(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
 def as_sortable(columns: Sequence[str], keys: Sequence[str], order: Sequence[str]) -> Column:
     """A struct of all non-key columns, those of ``order`` first. Structs compare field by field.
 
-    A key column in ``order`` is constant per key and so left out.
+    A key column in ``order`` is constant per key and so left out. The others follow by name, so
+    that a table read back with its columns in another order breaks ties the same way.
     """
     leading = [c for c in order if c not in keys]
-    return F.struct(*leading, *[c for c in columns if c not in keys and c not in leading])
+    return F.struct(*leading, *sorted(set(columns) - set(keys) - set(leading)))
 
 
 def first_per_key(

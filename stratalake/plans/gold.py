@@ -38,5 +38,5 @@ def run_gold(spark: SparkSession, config: PipelineConfig, partitions: Sequence[R
     )
     log.info("gold: merged %d groups into %s", result.source_rows, config.gold.path)
     if config.gold.qualified_name:
-        register_table(spark, config.gold, summary.schema)
+        register_table(spark, config.gold, summary.schema, result.partitions)
     return StepCount("gold", result.source_rows)

@@ -19,12 +19,17 @@ log = logging.getLogger(__name__)
 
 
 def upsert_silver(spark: SparkSession, bronze: DataFrame, config: PipelineConfig) -> UpsertResult:
-    """Conform ``bronze`` rows and merge them into Silver."""
+    """Conform ``bronze`` rows, merge them into Silver, and register it."""
     order, descending = config.survivor_order, config.survivor_descending
+    rows = clean_trips(bronze)
     if config.on_conflict == "latest":
-        rows = clean_trips(bronze)
-        return upsert_first_per_key(spark, rows, config.silver, order, descending, NULLABLE_MERGE_KEYS)
-    return upsert_table(spark, conform_trips(bronze, order, descending), config.silver, NULLABLE_MERGE_KEYS)
+        result = upsert_first_per_key(spark, rows, config.silver, order, descending, NULLABLE_MERGE_KEYS)
+    else:
+        result = upsert_table(spark, conform_trips(bronze, order, descending), config.silver, NULLABLE_MERGE_KEYS)
+    log.info("silver: merged %d rows into %s", result.source_rows, config.silver.path)
+    if config.silver.qualified_name:
+        register_table(spark, config.silver, rows.schema, result.partitions)
+    return result
 
 
 def run_silver(spark: SparkSession, config: PipelineConfig) -> tuple[list[StepCount], list[Row] | None]:
@@ -34,16 +39,12 @@ def run_silver(spark: SparkSession, config: PipelineConfig) -> tuple[list[StepCo
         return [StepCount("silver", 0)], []
     bronze = read_layer(spark, config.bronze.path, config.bronze.partition_columns)
     result = upsert_silver(spark, bronze, config)
-    log.info("silver: merged %d rows into %s", result.source_rows, config.silver.path)
     steps = [StepCount("silver", result.source_rows)]
     if config.quarantine is not None:
         quarantine = config.quarantine
         written = write_partitioned(
             rejected_trips(bronze), quarantine.path, "overwrite", quarantine.partition_columns
         )
-        rejected = written["rows"]
-        log.info("silver: %d rows to quarantine %s", rejected, quarantine.path)
-        steps.append(StepCount("quarantine", rejected))
-    if config.silver.qualified_name:
-        register_table(spark, config.silver, clean_trips(bronze).schema)
+        log.info("silver: %d rows to quarantine %s", written["rows"], quarantine.path)
+        steps.append(StepCount("quarantine", written["rows"]))
     return steps, result.partitions

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Row, SparkSession
 from pyspark.sql import types as T
 
 from stratalake.config import Layer
@@ -29,8 +29,22 @@ def registered_location(spark: SparkSession, layer: Layer) -> str | None:
     return details.filter("col_name = 'Location'").first()["data_type"]
 
 
-def register_table(spark: SparkSession, layer: Layer, schema: T.StructType) -> bool:
-    """Register the layer if it is missing, then let the catalog know all its partitions.
+def _add_partitions(spark: SparkSession, layer: Layer, partitions: Sequence[Row]) -> None:
+    for start in range(0, len(partitions), 100):
+        specs = " ".join(
+            "PARTITION (" + ", ".join(f"`{c}` = {p[c]}" for c in layer.partition_columns) + ")"
+            for p in partitions[start : start + 100]
+        )
+        spark.sql(f"ALTER TABLE {layer.qualified_name} ADD IF NOT EXISTS {specs}")
+
+
+def register_table(
+    spark: SparkSession, layer: Layer, schema: T.StructType, partitions: Sequence[Row] | None = None
+) -> bool:
+    """Register the layer if it is missing, then let the catalog know its partitions.
+
+    ``partitions`` names those that the last load wrote. Without it, for a new table, or if one of
+    them is the NULL partition, all folders of the table are listed instead.
 
     Safe to run after every load. Returns whether the table was new. A table of that name that
     points elsewhere is an error rather than silently kept.
@@ -49,6 +63,9 @@ def register_table(spark: SparkSession, layer: Layer, schema: T.StructType) -> b
             f"CREATE TABLE IF NOT EXISTS {layer.qualified_name} ({columns}) USING parquet "
             f"PARTITIONED BY ({parts}) LOCATION {_text(layer.path)}"
         )
-    spark.sql(f"MSCK REPAIR TABLE {layer.qualified_name}")
+    if known is None or partitions is None or any(None in p for p in partitions):
+        spark.sql(f"MSCK REPAIR TABLE {layer.qualified_name}")
+    else:
+        _add_partitions(spark, layer, partitions)
     spark.catalog.refreshTable(layer.qualified_name)
     return known is None

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stratalake.config import Layer
 from stratalake.operators.metrics import measure_while
@@ -25,6 +26,8 @@ def write_partitioned(
 ) -> dict:
     """Write ``rows`` and return their number as ``rows``, with any further ``measures``.
 
+    Partition columns are integers. Their values become folder names and come back typed.
+
     ``rebalance`` shuffles rows by partition before the write. Without it every task writes a
     file into every partition it holds a row of. AQE splits a partition that is too large for one
     task into several files, so a month with a third of all rows does not land in one task.
@@ -33,6 +36,9 @@ def write_partitioned(
     ``only_present`` makes an overwrite replace the partitions that ``rows`` holds and leave the
     others. ``helper`` names a column that only the measures need.
     """
+    not_whole = [c for c in partition_columns if rows.schema[c].dataType != T.IntegerType()]
+    if not_whole:
+        raise ValueError(f"partition columns must be of type int, but these are not: {not_whole}")
     laid_out = rows.hint("rebalance", *partition_columns) if rebalance else rows
 
     def write(frame: DataFrame) -> None:

@@ -121,7 +121,6 @@ def first_per_key_over(
     once, and NULLs count as equal keys. ``__from_target`` says where the result's row is from,
     and ``__target_rows`` how many target rows had its key.
     """
-    check_columns(target, rows)
     # The flag leads the order, so its larger value must lose.
     losing = F.lit(not descending)
     winning = F.lit(descending)
@@ -160,11 +159,19 @@ def upsert_first_per_key(
     finish_pending(spark, layer)
     parts, keys = layer.partition_columns, layer.keys
 
+    if table_exists(spark, layer.path):
+        # Columns the table lacks must not decide which duplicate survives either.
+        stored = read_layer(spark, layer.path, parts)
+        check_columns(stored, rows)
+        rows = rows.select(*stored.columns)
+    else:
+        stored = None
+
     def joined() -> UpsertResult:
         unique = first_per_key(rows, keys, order, descending)
         return upsert_table(spark, unique, layer, nullable_keys, check_source=False)
 
-    if not table_exists(spark, layer.path):
+    if stored is None:
         return joined()
     null_in_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys if k not in nullable_keys], F.lit(False))
     profile = (
@@ -175,7 +182,7 @@ def upsert_first_per_key(
     if sum(p["__rows"] for p in profile) <= SMALL_SOURCE_ROWS or any(p["__null_keys"] for p in profile):
         return joined()
 
-    target = read_layer(spark, layer.path, parts).filter(in_partitions(profile, parts))
+    target = stored.filter(in_partitions(profile, parts))
     # Rows of a partition that the first reading did not show would replace that partition unmerged.
     unusable = (F.col(_TARGET_ROWS) > 1) | ~F.coalesce(in_partitions(profile, parts), F.lit(False))
     merged = first_per_key_over(target, rows, keys, order, descending).withColumn(

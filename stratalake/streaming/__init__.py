@@ -1,6 +1,6 @@
 """Incremental forms of the layer runs: each file is processed once, then the run ends."""
 
 from stratalake.streaming.ingest import ingest_new_files
-from stratalake.streaming.refresh import refresh_from_new_rows, upsert_new_rows
+from stratalake.streaming.refresh import quarantine_new_rows, refresh_from_new_rows, upsert_new_rows
 
-__all__ = ["ingest_new_files", "refresh_from_new_rows", "upsert_new_rows"]
+__all__ = ["ingest_new_files", "quarantine_new_rows", "refresh_from_new_rows", "upsert_new_rows"]

@@ -9,9 +9,9 @@ from stratalake.config import Layer, PipelineConfig, standard_layers
 from stratalake.operators import DuplicateKeyError, StepCount, step_report
 from stratalake.plans import EmptyInputError, run_all, run_bronze, run_gold, run_silver
 from stratalake.session import fit_shuffles, shuffle_partitions_for
-from stratalake.sinks import write_partitioned
+from stratalake.sinks import upsert, write_partitioned
 from stratalake.sources import read_layer, size_in_bytes
-from stratalake.streaming import ingest_new_files, refresh_from_new_rows, upsert_new_rows
+from stratalake.streaming import ingest_new_files, quarantine_new_rows, refresh_from_new_rows, upsert_new_rows
 
 HEADER = "VendorID,tpep_pickup_datetime,tpep_dropoff_datetime,passenger_count,trip_distance,payment_type,total_amount,tip"
 JANUARY = [
@@ -42,8 +42,8 @@ def drop(folder, name, lines, mtime):
 
 
 @pytest.fixture
-def config(tmp_path, request):
-    name = request.node.name.split("[")[0]
+def config(tmp_path):
+    name = tmp_path.name
     bronze, silver, gold = standard_layers(str(tmp_path), tuple(f"{x}_{name}" for x in ("b", "s", "g")))
     drop(tmp_path / "drop", "january.csv", JANUARY, 1_700_000_000)
     return PipelineConfig(dropzone=str(tmp_path / "drop"), bronze=bronze, silver=silver, gold=gold)
@@ -75,6 +75,38 @@ def test_rerun_doubles_bronze_only(spark, config):
     assert gold_of(spark, config) == GOLD
 
 
+@pytest.mark.parametrize("small", [0, 10**6])
+def test_rerun_breaks_ties_the_same_way(spark, config, tmp_path, monkeypatch, small):
+    monkeypatch.setattr(upsert, "SMALL_SOURCE_ROWS", small)
+    ties = [
+        f"{v},2020-01-0{d}{t},2020-01-02 00:00:00,{p},{m}.5,{p},{a}.25,{m}"
+        for v in (1, 2)
+        for d in (1, 2)
+        for t in ("", " 00:00:00")
+        for p, m, a in ((1, 9, 5), (2, 8, 6), (3, 7, 4))
+    ]
+    drop(tmp_path / "drop", "january.csv", ties, 1_700_000_000)
+    run_all(spark, config)
+    columns = sorted(read_layer(spark, config.silver.path, ("year", "month")).columns)
+    silver = lambda: rows_of(read_layer(spark, config.silver.path, ("year", "month")).select(columns))
+    once = silver()
+    assert len(once) == 4
+    run_all(spark, config)
+    assert silver() == once
+
+
+def test_incremental_run_registers_and_quarantines(spark, config, tmp_path):
+    config = replace(config, quarantine=Layer(str(tmp_path / "rejected")))
+    for lot in (JANUARY, CORRECTED, JANUARY[-1:]):
+        drop(tmp_path / "drop", f"{len(lot)}.csv", lot, 1_700_000_000 + len(lot))
+        ingest_new_files(spark, config, str(tmp_path / "p1"))
+        refresh_from_new_rows(spark, config, str(tmp_path / "p2"))
+        quarantine_new_rows(spark, config, str(tmp_path / "p3"))
+    assert spark.table(config.silver.qualified_name).count() == 4
+    assert rows_of(spark.table(config.gold.qualified_name)) != []
+    assert read_layer(spark, config.quarantine.path, ("year", "month")).count() == 3
+
+
 def test_newest_file_wins(spark, config, tmp_path):
     run_all(spark, config)
     drop(tmp_path / "drop", "a_correction.csv", CORRECTED, 1_700_000_100)

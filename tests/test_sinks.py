@@ -3,6 +3,7 @@ from pathlib import Path
 
 import pytest
 from conftest import rows_of
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from stratalake.config import Layer
@@ -78,6 +79,21 @@ def test_append_to_a_streamed_table_is_refused(spark, layer):
         append_or_create(spark, frame(spark, TARGET), layer)
 
 
+def test_partition_columns_must_be_integers(spark, layer):
+    with pytest.raises(ValueError, match="type int"):
+        write_partitioned(frame(spark, [(1, "a", "x")], "k int, v string, year string"), layer.path, "overwrite", PARTS)
+
+
+def test_columns_the_table_lacks_do_not_pick_the_survivor(spark, layer, monkeypatch):
+    wide = "k int, v string, year int, a int"
+    rows = frame(spark, [(1, "x", 2020, 2), (1, "y", 2020, 1)], wide)
+    for small in (0, 10**6):
+        monkeypatch.setattr(upsert, "SMALL_SOURCE_ROWS", small)
+        write_partitioned(frame(spark, [(2, "b", 2020)]), layer.path, "overwrite", PARTS)
+        upsert_first_per_key(spark, rows, layer)
+        assert stored(spark, layer) == [(1, "x", 2020), (2, "b", 2020)]
+
+
 def test_large_partition_is_split_into_files(spark, tmp_path):
     df = spark.range(0, 400000, 1, 8).select(
         F.col("id").alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("v"), (F.col("id") % 3).cast("int").alias("year")
@@ -242,6 +258,9 @@ def test_register_is_repeatable_and_finds_new_partitions(spark, tmp_path):
     write_partitioned(frame(spark, [(9, "z", 2030)]), layer.path, "append", PARTS)
     assert register_table(spark, layer, df.schema) is False
     assert spark.table(layer.qualified_name).filter("year = 2030").count() == 1
+    write_partitioned(frame(spark, [(9, "y", 2031)]), layer.path, "append", PARTS)
+    assert register_table(spark, layer, df.schema, [Row(year=2031), Row(year=2020)]) is False
+    assert spark.table(layer.qualified_name).filter("year = 2031").count() == 1
     elsewhere = Layer(str(tmp_path / "other"), "stratalake_test_db", "t", partition_columns=PARTS)
     with pytest.raises(ValueError, match="is registered at"):
         register_table(spark, elsewhere, df.schema)
