@@ -25,7 +25,7 @@ from stratalake.operators.merge import check_columns, merge_frames
 from stratalake.session import scratch_dir
 from stratalake.sinks.partitioned import write_partitioned
 from stratalake.sources.storage import mark, path_exists, remove, size_in_bytes, table_exists
-from stratalake.sources.tables import in_partitions, partition_values, read_layer
+from stratalake.sources.tables import in_partitions, partition_counts, read_layer
 
 # A source below both bounds is worth the extra semi join that spares the target its shuffle.
 SMALL_SOURCE_BYTES = 8 * 1024 * 1024
@@ -40,6 +40,10 @@ class UpsertResult:
     partitions: list[Row] | None
 
 
+def _without_counts(partitions: Sequence[Row], partition_columns: Sequence[str]) -> list[Row]:
+    return [Row(**{c: p[c] for c in partition_columns}) for p in partitions]
+
+
 def _pending_rows(layer: Layer) -> str:
     return f"{layer.path}/.pending/rows"
 
@@ -95,15 +99,15 @@ def upsert_table(
         if first_load:
             return UpsertResult(write_partitioned(staged, layer.path, "overwrite", parts)["rows"], None)
 
-        touched = partition_values(staged, parts)
-        source_rows = staged.count()
+        touched = partition_counts(staged, parts)
+        source_rows = sum(p["row_count"] for p in touched)
         if touched:
             small = source_rows <= SMALL_SOURCE_ROWS and size_in_bytes(spark, staged_path) <= SMALL_SOURCE_BYTES
             target = read_layer(spark, layer.path, parts).filter(in_partitions(touched, parts))
             merged = merge_frames(target, staged, layer.keys, nullable_keys, small_source=small)
             write_partitioned(merged, _pending_rows(layer), "overwrite", parts)
             _publish(spark, layer)
-        return UpsertResult(source_rows, touched)
+        return UpsertResult(source_rows, _without_counts(touched, parts))
     finally:
         remove(spark, staged_path)
 
@@ -174,12 +178,8 @@ def upsert_first_per_key(
     if stored is None:
         return joined()
     null_in_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys if k not in nullable_keys], F.lit(False))
-    profile = (
-        rows.groupBy(*parts)
-        .agg(F.count(F.lit(1)).alias("__rows"), F.count_if(null_in_key).alias("__null_keys"))
-        .collect()
-    )
-    if sum(p["__rows"] for p in profile) <= SMALL_SOURCE_ROWS or any(p["__null_keys"] for p in profile):
+    profile = partition_counts(rows, parts, null_keys=F.count_if(null_in_key))
+    if sum(p["row_count"] for p in profile) <= SMALL_SOURCE_ROWS or any(p["null_keys"] for p in profile):
         return joined()
 
     target = stored.filter(in_partitions(profile, parts))
@@ -200,4 +200,4 @@ def upsert_first_per_key(
     if written["unusable"]:
         return joined()
     _publish(spark, layer)
-    return UpsertResult(written["source_rows"], [Row(**{c: p[c] for c in parts}) for p in profile])
+    return UpsertResult(written["source_rows"], _without_counts(profile, parts))

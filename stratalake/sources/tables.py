@@ -21,9 +21,10 @@ def read_layer(spark: SparkSession, path: str, partition_columns: Sequence[str]
     return spark.read.schema(T.StructType(fields)).parquet(path)
 
 
-def partition_values(rows: DataFrame, partition_columns: Sequence[str]) -> list[Row]:
-    """The distinct partitions of ``rows``: one small row per table folder."""
-    return rows.select(*partition_columns).distinct().collect()
+def partition_counts(rows: DataFrame, partition_columns: Sequence[str], **measures: Column) -> list[Row]:
+    """The partitions of ``rows`` with their row counts as ``row_count``: one row per table folder."""
+    counts = [F.count(F.lit(1)).alias("row_count"), *[column.alias(name) for name, column in measures.items()]]
+    return rows.groupBy(*partition_columns).agg(*counts).collect()
 
 
 def _any_of(conditions: Sequence[Column]) -> Column:
