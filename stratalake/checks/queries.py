@@ -77,7 +77,10 @@ def _conformed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return O.monthly_summary(_conformed(spark, sf_dir))
+    """Carries through the dedup only what it and the summary use; the survivor order has no ties."""
+    needed = _valid(spark, sf_dir).select(*DEDUP_KEYS, *SURVIVOR_ORDER, "payment_type")
+    unique = O.first_per_key(needed, DEDUP_KEYS, SURVIVOR_ORDER)
+    return O.monthly_summary(O.with_trip_period(unique))
 
 
 def _config(spark: SparkSession, name: str, **changes) -> PipelineConfig:

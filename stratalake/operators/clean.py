@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratalake.config import DATE_FORMAT, DEDUP_KEYS, LATEST_ARRIVAL, MERGE_KEYS
+from stratalake.config import DATE_FORMAT, DEDUP_KEYS, LATEST_ARRIVAL, MERGE_KEYS, PARTITION_COLUMNS
 from stratalake.functions import parse_timestamp, to_double, to_int
 from stratalake.operators.dedup import first_per_key
 
@@ -70,7 +70,8 @@ def conform_trips(
     By default one row per trip and source file survives. ``one_per_merge_key`` also reduces
     a trip found in several files to one row. That equals deduplicating twice with the same
     order, since the first row of all is the first of the first rows per file, so it is done in
-    one shuffle.
+    one shuffle. The period follows from the pickup, a key, so it is added after that shuffle.
     """
     keys = MERGE_KEYS if one_per_merge_key else DEDUP_KEYS
-    return first_per_key(clean_trips(trips), keys, order, descending)
+    valid = with_valid_dates(typed_trips(trips)).drop(*PARTITION_COLUMNS)
+    return with_trip_period(first_per_key(valid, keys, order, descending))
