@@ -88,7 +88,9 @@ class PipelineConfig:
             raise ValueError(f"on_conflict must be 'latest' or 'fail', not {self.on_conflict!r}")
 
 
-def standard_layers(root: str, databases: tuple[str, str, str] = ("bronze", "silver", "gold"), table: str = "trips") -> tuple[Layer, Layer, Layer]:
+def standard_layers(
+    root: str, databases: tuple[str, str, str] = ("bronze", "silver", "gold"), table: str = "trips"
+) -> tuple[Layer, Layer, Layer]:
     """Bronze, Silver and Gold layers below one root folder."""
     root = root.rstrip("/")
     keys = ((), MERGE_KEYS, SUMMARY_KEYS)

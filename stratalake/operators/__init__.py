@@ -1,6 +1,13 @@
 """DataFrame -> DataFrame steps. None of them touches storage."""
 
-from stratalake.operators.clean import clean_trips, conform_trips, rejected_trips, typed_trips, with_trip_period, with_valid_dates
+from stratalake.operators.clean import (
+    clean_trips,
+    conform_trips,
+    rejected_trips,
+    typed_trips,
+    with_trip_period,
+    with_valid_dates,
+)
 from stratalake.operators.dedup import DuplicateKeyError, any_per_key, first_per_key, key_conflicts, require_unique
 from stratalake.operators.enrich import with_lineage, with_pickup_date
 from stratalake.operators.merge import (

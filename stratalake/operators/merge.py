@@ -48,7 +48,9 @@ def check_columns(target: DataFrame, source: DataFrame) -> None:
             )
 
 
-def _join_source(target: DataFrame, source: DataFrame, keys: Sequence[str], nullable_keys: Sequence[str], how: str) -> DataFrame:
+def _join_source(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], nullable_keys: Sequence[str], how: str
+) -> DataFrame:
     marked = _prefixed(source, target.columns, _SOURCE).withColumn(_FOUND, F.lit(True))
     return target.join(marked, _same_key(keys, nullable_keys, "", _SOURCE), how)
 

@@ -2,7 +2,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from stratalake import functions as X
-from stratalake.operators import rejected_trips, typed_trips, with_lineage, with_pickup_date, with_trip_period, with_valid_dates
+from stratalake.operators import (
+    rejected_trips,
+    typed_trips,
+    with_lineage,
+    with_pickup_date,
+    with_trip_period,
+    with_valid_dates,
+)
 
 CASTS = {"1.5": 1, "1.0": 1, "abc": None, "": None, "3e10": None, "NaN": None, "-1.9": -1, None: None}
 STAMPS = {

@@ -2,7 +2,15 @@ import pytest
 from pyspark.sql import Row
 from pyspark.sql import types as T
 
-from stratalake.sources import in_partitions, path_exists, read_delimited, read_layer, remove, schema_from_header, table_exists
+from stratalake.sources import (
+    in_partitions,
+    path_exists,
+    read_delimited,
+    read_layer,
+    remove,
+    schema_from_header,
+    table_exists,
+)
 
 HEADER = "VendorID,tpep_pickup_datetime,tpep_dropoff_datetime,passenger_count,trip_distance,payment_type,total_amount,extra"
 LINE = '1,2020-01-01 00:00:00,2020-01-01 00:10:00,1.0,2.5,"a,b",9.5,007'
