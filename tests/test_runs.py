@@ -67,6 +67,16 @@ def test_all_layers_and_their_counts(spark, config, tmp_path):
     assert silver.filter("vendorid = 2").first().passenger_count is None
 
 
+def test_inferred_schema_runs_through_all_layers(spark, config):
+    steps = run_all(spark, replace(config, infer_schema=True))
+    assert [s.rows for s in steps] == [5, 3, 3]
+    bronze = read_layer(spark, config.bronze.path, ("year", "month"))
+    assert dict(bronze.dtypes)["payment_type"] == "int"
+    assert all("january.csv" in r.source_file for r in bronze.collect())
+    with pytest.raises(ValueError, match="differ from the table"):
+        run_bronze(spark, config)
+
+
 def test_rerun_doubles_bronze_only(spark, config):
     run_all(spark, config)
     run_all(spark, config)
@@ -233,6 +243,8 @@ def test_batch_table_is_not_streamed_into(spark, config, tmp_path):
         ingest_new_files(spark, config, str(tmp_path / "p"))
     with pytest.raises(ValueError, match="one directory"):
         ingest_new_files(spark, replace(config, dropzone=["a", "b"]), str(tmp_path / "p"))
+    with pytest.raises(ValueError, match="fixed schema"):
+        ingest_new_files(spark, replace(config, infer_schema=True), str(tmp_path / "p"))
 
 
 def test_command_line():
