@@ -14,7 +14,7 @@ import re
 import sys
 import types
 from collections.abc import Iterator
-from itertools import chain, islice
+from itertools import chain, islice, pairwise
 from operator import add
 
 import numpy as np
@@ -29,6 +29,7 @@ SPACE = "▁"
 REMEMBERED, REMEMBERED_CHARS = 800_000, 64
 #: Texts of so many characters are worked on together.
 _TOGETHER = 1 << 21
+_LETTER, _SIGNS = "[0-9A-Za-zÀ-ÖØ-öø-ÿ]", "!\"#$%&'()*+,-./:;<=>?@[\\]^`{|}~"
 _UNKNOWN_SURFACE = " ⁇ "
 
 
@@ -77,12 +78,23 @@ class Codec:
         self.known = _Known(self)
 
     def _cuts(self) -> str:
-        """Chunks begin before spaces, if no piece has one after another character, and around lone characters."""
+        """Chunks begin before spaces, if no piece has one after another character, and around lone characters.
+
+        A word also ends before a sign that no piece has after a letter or digit.
+        """
         if any(re.search(f"[^{SPACE}]{SPACE}", p) for p in self.rank):
             return ".+"
-        alone = "".join(c for c in "\n\t\r" if not any(c in p for p in self.rank))
-        lone = f"[{re.escape(alone)}]|" if alone else ""
-        return f"{lone} +[^ {re.escape(alone)}]*|[^ {re.escape(alone)}]+"
+        alone = re.escape("".join(c for c in "\n\t\r" if not any(c in p for p in self.rank)))
+        after_letter = {b for p in self.rank for a, b in pairwise(p) if re.match(_LETTER, a)}
+        signs = re.escape("".join(c for c in _SIGNS if c not in after_letter))
+        return "|".join(
+            [
+                *([f"[{alone}]"] if alone else []),
+                *([f" +{_LETTER}++(?=[{signs}])"] if signs else []),
+                f" +[^ {alone}]*",
+                f"[^ {alone}]+",
+            ]
+        )
 
     def merge(self, chunk: str) -> list[str]:
         """The pieces of a chunk, by the agenda."""
