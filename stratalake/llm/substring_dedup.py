@@ -22,14 +22,13 @@ from pyspark.sql import functions as F
 from .words import NON_SPACE, U64, Words, batches_of_words, window_hashes
 
 _ALIGNED, _SEVERAL, _POSITION = np.uint32(1 << 31), np.uint32(1 << 30), np.uint32((1 << 30) - 1)
-_PACKED = "bucket int, doc_id long, row_key int, lo int, hi int, packed binary"
+_PACKED = "bucket int, doc_id long, row_key int, span long, packed binary"
 _SPANS = pa.schema(
     [
         ("bucket", pa.int32()),
         ("doc_id", pa.int64()),
         ("row_key", pa.int32()),
-        ("lo", pa.int32()),
-        ("hi", pa.int32()),
+        ("span", pa.int64()),
         ("packed", pa.binary()),
     ]
 )
@@ -81,24 +80,29 @@ def _packed_rows(columns: list[np.ndarray], bucket: np.ndarray, ids: np.ndarray,
         _pack([c[a:b] for c in columns], ids[a:b], keys[a:b]) for a, b in zip(heads.tolist(), ends.tolist(), strict=True)
     ]
     n = len(heads)
-    none = [pa.nulls(n, f.type) for f in list(_SPANS)[1:5]]
+    none = [pa.nulls(n, f.type) for f in list(_SPANS)[1:4]]
     return pa.RecordBatch.from_arrays([pa.array(bucket[heads]), *none, pa.array(packed, pa.binary())], schema=_SPANS)
 
 
 def _span_rows(bucket: np.ndarray, ids: np.ndarray, keys: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> pa.RecordBatch:
+    """First and last place of each span in one number: lists of numbers are a quarter of the size of lists of pairs."""
     return pa.RecordBatch.from_arrays(
         [
             pa.array(bucket.astype(np.int32)),
             pa.array(ids),
             pa.array(keys),
-            pa.array(lo.astype(np.int32)),
-            pa.array(hi.astype(np.int32)),
+            pa.array(lo.astype(np.int64) << 32 | hi.astype(np.int64)),
             pa.nulls(len(ids), pa.binary()),
         ],
         schema=_SPANS,
     )
 
 
+def _bounds(spans: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    spans = np.asarray(spans, np.int64)
+    return spans >> 32, spans & 0xFFFFFFFF
+
+
 def _runs(marked: np.ndarray, words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Runs of marked words as (text, first, last), counted within the text."""
     before = np.zeros(len(marked), bool)
@@ -167,7 +171,7 @@ def _by_bucket(batches: Rows) -> Iterator[tuple[list[bytes], pa.RecordBatch | No
     """Packed rows of one bucket after the other, from rows sorted by bucket; span rows as they come."""
     now, held = None, []
     for batch in batches:
-        packed = batch.column(5)
+        packed = batch.column(4)
         spans = batch.filter(packed.is_null())
         if spans.num_rows:
             yield [], spans
@@ -221,7 +225,7 @@ def _compare_windows(window: int, buckets: int) -> Callable[[Rows], Rows]:
             doc, key = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             spans = batch.column(3)
             ends = spans.offsets.to_numpy()
-            lows, highs = (spans.values.field(i).to_numpy() for i in (0, 1))
+            lows, highs = _bounds(spans.values.to_numpy())
             for at, to, words in batches_of_words(batch.column(2), NON_SPACE):
                 part = slice(ends[at], ends[to])
                 of = np.repeat(np.arange(to - at), np.diff(ends[at : to + 1]))
@@ -286,7 +290,8 @@ def _cut(window: int) -> Callable[[Rows], Rows]:
                 words = (raw or b"").split()
                 n_words.append(len(words))
                 gone: list[dict] = []
-                for lo, hi in sorted((s["lo"], s["hi"] + window) for s in spans or ()):
+                for lo, last in zip(*(x.tolist() for x in _bounds(np.sort(spans))), strict=True) if spans else ():
+                    hi = last + window
                     if gone and lo <= gone[-1]["end"]:
                         gone[-1]["end"] = max(gone[-1]["end"], hi)
                     else:
@@ -315,7 +320,7 @@ def _cut(window: int) -> Callable[[Rows], Rows]:
 
 def _gathered(spans: DataFrame) -> DataFrame:
     """The spans of each document; a document has at most as many as words."""
-    return spans.groupBy("doc_id", "row_key").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
+    return spans.groupBy("doc_id", "row_key").agg(F.collect_list("span").alias("spans"))
 
 
 def remove_repeats(
