@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from .scratch import store
 
 #: Comparisons with a further centre, among members apart from the first, before the rest are compared in full.
-CENTRE_ROUNDS = 3
+CENTRE_ROUNDS = 2
 
 
 def components(edges: DataFrame) -> DataFrame:
