@@ -25,8 +25,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SPACE = "▁"
-#: Distinct chunks that a worker remembers (about 250 bytes each), and the longest; others are merged again when met.
-REMEMBERED, REMEMBERED_CHARS = 800_000, 64
+#: Distinct chunks that a worker remembers (about 250 bytes each), and the longest. Frequent chunks are met first, so the
+#: first ones stay; others are merged again in each batch that has them.
+REMEMBERED, REMEMBERED_CHARS = 300_000, 64
 #: Texts of so many characters are worked on together.
 _TOGETHER = 1 << 21
 _LETTER, _SIGNS = "[0-9A-Za-zÀ-ÖØ-öø-ÿ]", "!\"#$%&'()*+,-./:;<=>?@[\\]^`{|}~"
@@ -152,7 +153,7 @@ class Codec:
             if len(c) > REMEMBERED_CHARS:
                 del known[c]
         if len(known) > REMEMBERED:
-            for c in list(islice(known, len(known) // 2)):
+            for c in list(islice(known, REMEMBERED, None)):
                 del known[c]
         return out
 

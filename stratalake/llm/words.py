@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 
 U64 = np.uint64
 #: Texts are taken in slices of about so many bytes, which bounds memory; a longer text is a slice of its own.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 
 def byte_class(separators: bytes) -> np.ndarray:
