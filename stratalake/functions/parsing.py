@@ -28,5 +28,5 @@ def to_int(value: Column | str) -> Column:
 
 
 def exact_amount(value: Column | str) -> Column:
-    """Money with two places, so that a sum does not depend on the order of its rows."""
-    return _column(value).try_cast("decimal(18,2)")
+    """An amount as a decimal with ten places, so that a sum does not depend on the order of its rows."""
+    return _column(value).try_cast("decimal(38,10)")

@@ -15,11 +15,16 @@ def monthly_summary(trips: DataFrame, exact: bool = True) -> DataFrame:
     """Trips and amount collected per year, month and payment type.
 
     Groups by the stored partition columns, so a filter on them prunes the scan, and reads no
-    column besides the payment type and the amount. ``exact`` sums the amounts, rounded half up
-    to cents, as decimals: the order of the rows then cannot change the total, and NaN or
-    oversized amounts are skipped. ``exact=False`` is the plain sum of doubles.
+    column besides the payment type and the amount. ``exact`` sums the amounts as decimals, so that the
+    order of the rows cannot change the total. No amount is left out: a group with an amount that is no such
+    decimal (NaN, infinite, 1e28 or more), or with too large a sum, gets the plain sum of doubles. So do
+    all groups with ``exact=False``.
     """
-    amount = F.sum(exact_amount("total_amount")).cast("double") if exact else F.sum("total_amount")
+    amount = F.sum("total_amount")
+    if exact:
+        decimal = exact_amount("total_amount")
+        misfits = F.count_if(F.col("total_amount").isNotNull() & decimal.isNull())
+        amount = F.when(misfits == 0, F.coalesce(F.try_sum(decimal).cast("double"), amount)).otherwise(amount)
     return trips.groupBy(*SUMMARY_KEYS).agg(
         F.count(F.lit(1)).alias("total_trips"),
         amount.alias("total_amount_collected"),

@@ -11,7 +11,7 @@ from stratalake.config import NULLABLE_SUMMARY_KEYS, PipelineConfig
 from stratalake.operators.metrics import StepCount
 from stratalake.operators.summary import monthly_summary
 from stratalake.sinks.catalog import register_table
-from stratalake.sinks.upsert import upsert_table
+from stratalake.sinks.upsert import finish_pending, upsert_table
 from stratalake.sources.storage import table_exists
 from stratalake.sources.tables import in_partitions, read_layer
 
@@ -24,6 +24,8 @@ def run_gold(spark: SparkSession, config: PipelineConfig, partitions: Sequence[R
     ``partitions`` limits the work to these Silver partitions. A group lies in one partition, so
     groups of the others are as they were. A group that vanished from Silver stays in Gold.
     """
+    # A merge that died while it replaced partitions left some of them missing; its result is complete.
+    finish_pending(spark, config.silver)
     if not table_exists(spark, config.silver.path):
         log.warning("gold: Silver holds no rows yet")
         return StepCount("gold", 0)
@@ -36,6 +38,7 @@ def run_gold(spark: SparkSession, config: PipelineConfig, partitions: Sequence[R
     result = upsert_table(
         spark, summary, config.gold, nullable_keys=NULLABLE_SUMMARY_KEYS, check_source=False
     )
+    log.info("gold: schema %s", summary.schema.simpleString())
     log.info("gold: merged %d groups into %s", result.source_rows, config.gold.path)
     if config.gold.qualified_name:
         register_table(spark, config.gold, summary.schema, result.partitions)

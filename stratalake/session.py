@@ -58,9 +58,12 @@ def fit_shuffles(spark: SparkSession, input_bytes: int) -> None:
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder name below ``spark.checkpoint.dir``, which all executors share.
 
-    Only where the cluster names none (a local test) a folder of this machine is used.
+    A local master may do without the setting and then uses a folder of this machine; a cluster
+    may not, for its executors would each write to their own disk.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="stratalake-")
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"

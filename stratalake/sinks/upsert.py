@@ -12,6 +12,7 @@ see some partitions replaced and others not yet.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -22,15 +23,10 @@ from pyspark.sql import functions as F
 from stratalake.config import Layer
 from stratalake.operators.dedup import as_sortable, first_per_key, require_unique
 from stratalake.operators.merge import check_columns, merge_frames
-from stratalake.session import scratch_dir
 from stratalake.sinks.partitioned import write_partitioned
-from stratalake.sources.storage import mark, path_exists, remove, size_in_bytes, table_exists
+from stratalake.sources.storage import mark, path_exists, remove, table_exists
 from stratalake.sources.tables import in_partitions, partition_counts, read_layer
 
-# A source below both bounds is worth the extra semi join that spares the target its shuffle.
-SMALL_SOURCE_BYTES = 8 * 1024 * 1024
-SMALL_SOURCE_ROWS = 200_000
-
 
 @dataclass(frozen=True)
 class UpsertResult:
@@ -77,7 +73,7 @@ def upsert_table(
 ) -> UpsertResult:
     """Merge ``source`` into the table of ``layer`` on the layer's keys, or create the table.
 
-    The source is written once to the shared scratch folder. That cuts its lineage, gives the
+    The source is written once, to a folder beside the table. That cuts its lineage, gives the
     optimizer its true size, and keeps it from being computed for each of its uses.
     ``check_source`` costs an aggregation over the keys; switch it off for a source that is
     unique by construction.
@@ -90,7 +86,7 @@ def upsert_table(
     if first_load and not check_source:
         return UpsertResult(write_partitioned(source, layer.path, "overwrite", parts)["rows"], None)
 
-    staged_path = scratch_dir(spark, "merge-source")
+    staged_path = f"{layer.path.rstrip('/')}.merge-source-{uuid.uuid4().hex}"
     try:
         source.write.parquet(staged_path)
         staged = spark.read.schema(source.schema).parquet(staged_path)
@@ -102,9 +98,8 @@ def upsert_table(
         touched = partition_counts(staged, parts)
         source_rows = sum(p["row_count"] for p in touched)
         if touched:
-            small = source_rows <= SMALL_SOURCE_ROWS and size_in_bytes(spark, staged_path) <= SMALL_SOURCE_BYTES
             target = read_layer(spark, layer.path, parts).filter(in_partitions(touched, parts))
-            merged = merge_frames(target, staged, layer.keys, nullable_keys, small_source=small)
+            merged = merge_frames(target, staged, layer.keys, nullable_keys)
             write_partitioned(merged, _pending_rows(layer), "overwrite", parts)
             _publish(spark, layer)
         return UpsertResult(source_rows, _without_counts(touched, parts))
@@ -151,11 +146,11 @@ def upsert_first_per_key(
 ) -> UpsertResult:
     """Merge the first of ``rows`` per key of ``layer`` into its table, or create the table.
 
-    Same table as ``upsert_table(first_per_key(rows, ...))``. A large source is deduplicated and
+    Same table as ``upsert_table(first_per_key(rows, ...))``. A source of any size is deduplicated and
     merged in one shuffle of source and target; that shuffle and the one that lays out the files
     are all. It needs a target without duplicate keys and keys that are never NULL unless they
-    may match as NULL. Both are checked along the way; where they do not hold, and for a small
-    source, which can be broadcast, the join does the work instead.
+    may match as NULL. Both are checked along the way; where they do not hold the join does the
+    work instead.
 
     ``rows`` is read twice, the first time for its partitions and key columns alone. Should the
     second reading bring other partitions, the join, which reads once, takes over as well.
@@ -179,8 +174,10 @@ def upsert_first_per_key(
         return joined()
     null_in_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys if k not in nullable_keys], F.lit(False))
     profile = partition_counts(rows, parts, null_keys=F.count_if(null_in_key))
-    if sum(p["row_count"] for p in profile) <= SMALL_SOURCE_ROWS or any(p["null_keys"] for p in profile):
+    if any(p["null_keys"] for p in profile):
         return joined()
+    if not profile:
+        return UpsertResult(0, [])
 
     target = stored.filter(in_partitions(profile, parts))
     # Rows of a partition that the first reading did not show would replace that partition unmerged.

@@ -114,10 +114,14 @@ def test_clean_keeps_duplicates(spark):
 
 def test_summary_groups_null_payment_and_sums_exactly(spark):
     df = spark.createDataFrame(
-        [(2020, 1, None, 0.1), (2020, 1, None, 0.2), (2020, 1, "a", 10.305), (2020, 1, "a", float("nan"))],
+        [(2020, 1, None, 0.1), (2020, 1, None, 0.2), (2020, 1, "a", 10.305), (2020, 1, "a", float("nan"))]
+        + [(2020, 1, "b", 1.0), (2020, 1, "b", 2e16), (2020, 1, "b", 0.004), (2020, 1, "c", 1e300), (2020, 1, "c", None)],
         "year int, month int, payment_type string, total_amount double",
     )
-    assert rows_of(monthly_summary(df)) == sorted([(2020, 1, None, 2, 0.3), (2020, 1, "a", 2, 10.31)], key=repr)
+    found = {r.payment_type: (r.total_trips, r.total_amount_collected) for r in monthly_summary(df).collect()}
+    assert found[None] == (2, 0.3) and found["c"] == (2, 1e300)
+    assert found["b"] == (3, 20000000000000001.004)  # nothing is left out
+    assert found["a"][0] == 2 and found["a"][1] != found["a"][1]  # and NaN is told
     plain = {r.payment_type: r.total_amount_collected for r in monthly_summary(df, exact=False).collect()}
     assert plain[None] == 0.1 + 0.2 and plain["a"] != plain["a"]
 

@@ -85,14 +85,12 @@ def test_partition_columns_must_be_integers(spark, layer):
         write_partitioned(frame(spark, [(1, "a", "x")], "k int, v string, year string"), layer.path, "overwrite", PARTS)
 
 
-def test_columns_the_table_lacks_do_not_pick_the_survivor(spark, layer, monkeypatch):
+def test_columns_the_table_lacks_do_not_pick_the_survivor(spark, layer):
     wide = "k int, v string, year int, a int"
     rows = frame(spark, [(1, "x", 2020, 2), (1, "y", 2020, 1)], wide)
-    for small in (0, 10**6):
-        monkeypatch.setattr(upsert, "SMALL_SOURCE_ROWS", small)
-        write_partitioned(frame(spark, [(2, "b", 2020)]), layer.path, "overwrite", PARTS)
-        upsert_first_per_key(spark, rows, layer)
-        assert stored(spark, layer) == [(1, "x", 2020), (2, "b", 2020)]
+    write_partitioned(frame(spark, [(2, "b", 2020)]), layer.path, "overwrite", PARTS)
+    upsert_first_per_key(spark, rows, layer)
+    assert stored(spark, layer) == [(1, "x", 2020), (2, "b", 2020)]
 
 
 def test_large_partition_is_split_into_files(spark, tmp_path):
@@ -201,7 +199,6 @@ def random_rows(seed, n, nulls=True):
 
 @pytest.mark.parametrize("descending", [False, True])
 def test_one_shuffle_form_equals_dedup_then_merge(spark, tmp_path, monkeypatch, descending):
-    monkeypatch.setattr(upsert, "SMALL_SOURCE_ROWS", 0)
     joined = []
     monkeypatch.setattr(upsert, "upsert_table", lambda *a, **k: joined.append(1) or upsert_table(*a, **k))
     layer = Layer(str(tmp_path / "t"), partition_columns=PARTS, keys=("k", "j"))
@@ -217,8 +214,7 @@ def test_one_shuffle_form_equals_dedup_then_merge(spark, tmp_path, monkeypatch,
     assert {p.year for p in result.partitions} == {r.year for r in rows.collect()}
 
 
-def test_duplicate_target_keys_fall_back_to_the_join(spark, layer, monkeypatch):
-    monkeypatch.setattr(upsert, "SMALL_SOURCE_ROWS", 0)
+def test_duplicate_target_keys_fall_back_to_the_join(spark, layer):
     target = [(1, "a", 2020), (1, "a2", 2020), (2, "b", 2020), (2, "b2", 2020)]
     write_partitioned(frame(spark, target), layer.path, "overwrite", PARTS)
     upsert_first_per_key(spark, frame(spark, [(2, "Z", 2020), (2, "Y", 2020), (3, "c", 2020)]), layer)
@@ -226,15 +222,13 @@ def test_duplicate_target_keys_fall_back_to_the_join(spark, layer, monkeypatch):
     assert stored(spark, layer) == sorted(want, key=repr)
 
 
-def test_null_in_a_strict_key_falls_back_to_the_join(spark, layer, monkeypatch):
-    monkeypatch.setattr(upsert, "SMALL_SOURCE_ROWS", 0)
+def test_null_in_a_strict_key_falls_back_to_the_join(spark, layer):
     write_partitioned(frame(spark, [(None, "n", 2020)]), layer.path, "overwrite", PARTS)
     upsert_first_per_key(spark, frame(spark, [(None, "m", 2020)]), layer)
     assert stored(spark, layer) == sorted([(None, "n", 2020), (None, "m", 2020)], key=repr)
 
 
 def test_rows_that_change_between_readings_fall_back_to_the_join(spark, layer, monkeypatch):
-    monkeypatch.setattr(upsert, "SMALL_SOURCE_ROWS", 0)
     joined = []
     monkeypatch.setattr(upsert, "upsert_table", lambda *a, **k: joined.append(1) or upsert_table(*a, **k))
     write_partitioned(frame(spark, TARGET), layer.path, "overwrite", PARTS)

@@ -111,3 +111,10 @@ def test_only_null_partitions_still_read_as_int(spark, tmp_path):
     table = read_layer(spark, path, ("year", "month"))
     assert dict(table.dtypes) == {"k": "int", "year": "int", "month": "int"}
     assert table.first().year is None
+
+
+def test_a_folder_without_files_gives_no_rows_of_the_declared_schema(spark, tmp_path):
+    (tmp_path / "empty").mkdir()
+    rows = read_delimited(spark, str(tmp_path / "empty"))
+    assert rows.count() == 0 and "vendorid" in rows.columns
+    assert read_delimited(spark, str(tmp_path / "empty"), infer_schema=True).count() == 0
