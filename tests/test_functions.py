@@ -50,9 +50,9 @@ def test_timestamps_accept_typed_input(spark):
     assert str(row.a) == "2020-01-01 01:02:03" and row.b == "2020-01-01"
 
 
-def test_amount_rounds_half_up_and_skips_nan(spark):
+def test_amount_keeps_ten_places_and_has_no_nan(spark):
     df = spark.createDataFrame([(10.305,), (float("nan"),), (1e30,)], "x double")
-    assert [None if v[0] is None else str(v[0]) for v in df.select(X.exact_amount("x")).collect()] == ["10.31", None, None]
+    assert [None if v[0] is None else str(v[0]) for v in df.select(X.exact_amount("x")).collect()] == ["10.3050000000", None, None]
 
 
 def trips(spark, pairs):
