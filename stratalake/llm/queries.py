@@ -47,7 +47,7 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per line with words: the line, the first line of its group, and whether it is kept."""
-    return line_dedup.line_groups(_table(spark, sf_dir, "documents")).select(
+    return line_dedup.line_groups(_table(spark, sf_dir, "documents"), distance=None).select(
         "doc_id", F.col("line_no").cast("long"), "first_doc_id", F.col("first_line_no").cast("long"), "kept"
     )
 

@@ -209,6 +209,65 @@ def test_line_groups(docs, rows):
     assert len(set(got.values())) < len(got) - 5
 
 
+def edit_groups(rows, percent):
+    """Line places by the first place of their group, if the edit similarity alone decides."""
+    places = {}
+    for i, t in rows:
+        for k, line in enumerate(t.split("\n")):
+            places.setdefault(tuple(line.split()), []).append((i, k))
+    keys, parent = list(places), {w: w for w in places}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    def edits(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            before, row[0] = row[0], i
+            for j, y in enumerate(b, 1):
+                before, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, before + (x != y))
+        return row[-1]
+
+    for a, x in enumerate(keys):
+        for y in keys[:a]:
+            most = max(len(x), len(y))
+            allowed = most * (100 - percent) // 100
+            if abs(len(x) - len(y)) <= allowed and edits(x, y) <= allowed:
+                parent[root(x)] = root(y)
+    groups = {}
+    for w in keys:
+        groups.setdefault(root(w), []).extend(places[w])
+    return {p: min(g) for g in groups.values() for p in g}
+
+
+@pytest.mark.parametrize("percent", [75, 80, 90])
+def test_line_groups_by_edits_alone(spark, percent):
+    rng = random.Random(percent)
+    vocabulary = ["".join(rng.choices("abcdeñ", k=rng.randrange(1, 7))) for _ in range(150)]
+    lines = []
+    for n in [*range(2, 26), 30, 41, 60]:
+        for _ in range(3):
+            base = rng.choices(vocabulary, k=n)
+            lines.append(base)
+            most = n * (100 - percent) // 100
+            for edits in {1, most, most + 1}:
+                copy = list(base)
+                every = max(n // max(edits, 1), 1)
+                for e in range(edits):  # spread evenly, the hardest case for shared runs
+                    at = min((e + 1) * every - 1, len(copy) - 1)
+                    kind = rng.choice("sssid")
+                    copy[at : at + (kind != "i")] = [] if kind == "d" and len(copy) > 1 else [f"new{rng.random()}".replace(".", "")]
+                lines.append(copy)
+    rows = [(i, "\n".join(" ".join(w) for w in lines[i : i + 5])) for i in range(0, len(lines), 5)]
+    df = spark.createDataFrame(rows + rows[:3], "doc_id long, text string").repartition(3)
+    found = line_dedup.line_groups(df, percent=percent, distance=None).distinct().collect()
+    got = {(r.doc_id, r.line_no): (r.first_doc_id, r.first_line_no) for r in found}
+    assert got == edit_groups(rows, percent)
+    assert len(set(got.values())) < len(got) - 30
+
+
 def test_dedup_lines_takes_lines_out(spark):
     lines = ["one two three", "a", "", "b c"]
     df = spark.createDataFrame(
