@@ -3,6 +3,9 @@
 A line, and a block of several lines without a blank one between them, is compared with a template by the Dice coefficient
 of their sets of word bigrams. A likeness of at least t bounds the ratio of the two sizes by t / (2 - t), so
 only templates within these bounds are candidates, and only those are counted that share a bigram with the text.
+
+A text that is part of a line or block, or spread over several, is found as a passage: a run of words, whatever the lines,
+that is like a template and at most twice as long. Only documents with enough of a template's bigrams are searched for its passages.
 """
 
 from __future__ import annotations
@@ -12,6 +15,7 @@ from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -82,16 +86,18 @@ class Templates:
 
     def __init__(self, templates: tuple[tuple[str, str], ...], percent: int):
         self.percent = percent
-        known = sorted((len(b), name, b) for name, text in templates if (b := bigrams(text)))
+        known = sorted((len(b), name, b, text) for name, text in templates if (b := bigrams(text)))
         self.sizes = [k[0] for k in known]
         self.names = [k[1] for k in known]
+        #: Bigrams with repeats.
+        self.lengths = [len(_WORD.findall(k[3].encode().lower())) - 1 for k in known]
         self.having: dict[tuple[bytes, bytes], list[int]] = {}
-        for i, (_, _, own) in enumerate(known):
+        for i, (_, _, own, _) in enumerate(known):
             for b in own:
                 self.having.setdefault(b, []).append(i)
 
-    def best(self, text: str) -> tuple[float, str] | None:
-        """The likest template with at least the wanted likeness; of equals the first by name."""
+    def best(self, text: str) -> tuple[float, str, float] | None:
+        """The likest template with at least the wanted likeness, of equals the first by name; and its ``gain``."""
         own, p = bigrams(text), self.percent
         low = bisect_left(self.sizes, len(own) * p / (200 - p))
         high = bisect_right(self.sizes, len(own) * (200 - p) / p)
@@ -99,11 +105,71 @@ class Templates:
             return None
         shared = Counter(i for b in own & self.having.keys() for i in self.having[b] if low <= i < high)
         found = [
-            (-2 * n / (len(own) + self.sizes[i]), self.names[i])
+            (-2 * n / (len(own) + self.sizes[i]), self.names[i], 200 * n - p * (len(own) + self.sizes[i]))
             for i, n in shared.items()
             if 200 * n >= p * (len(own) + self.sizes[i])
         ]
-        return (-min(found)[0], min(found)[1]) if found else None
+        return (-min(found)[0], min(found)[1], min(found)[2]) if found else None
+
+    def passages(self, text: str) -> list[tuple[int, int, float, str, int]]:
+        """First and last line, likeness, name and gain of runs of words that are like a template.
+
+        The gain, likeness beyond the wanted one times size, decides between runs that overlap: of nested texts the
+        larger one counts, of similar ones the likest.
+        """
+        words = _WORD.findall(text.encode().lower())
+        pairs = list(zip(words, words[1:], strict=False))
+        shared = Counter(i for b in set(pairs) & self.having.keys() for i in self.having[b])
+        p = self.percent
+        wanted = [i for i, n in shared.items() if (200 - p) * n >= p * self.sizes[i]]
+        if not wanted:
+            return []
+        before, at = np.empty(len(pairs), np.int64), {}
+        for k, b in enumerate(pairs):
+            before[k] = at.get(b, -1)
+            at[b] = k
+        found = [run for i in wanted for run in self._runs(i, pairs, before)]
+        taken, out = np.zeros(len(words), bool), []
+        line = np.repeat(*_lines_of_words(text))
+        for gain, a, b, dice, name in sorted(found, key=lambda r: (-r[0], r[4], r[1])):
+            if not taken[a : b + 2].any():
+                taken[a : b + 2] = True
+                out.append((int(line[a]), int(line[b + 1]), dice, name, gain))
+        return sorted(out)
+
+    def matches(self, text: str) -> list[tuple[int, int, float, str]]:
+        """First and last line, likeness and name of the units that match, and then of further passages."""
+        whole = [(a, b, *best) for a, b, unit in units(text) if (best := self.best(unit))]
+        further = [
+            (a, b, dice, name)
+            for a, b, dice, name, gain in self.passages(text)
+            if not any(x <= b and a <= y and gain <= as_unit for x, y, _, _, as_unit in whole)
+        ]
+        return [w[:4] for w in whole] + further
+
+    def _runs(self, i: int, pairs: list, before: np.ndarray) -> Iterator[tuple[int, int, int, float, str]]:
+        """Gain, first and last bigram, likeness and name of the best run from each place where one may begin.
+
+        A run that has a bigram of the template before it gains by taking it in, so runs begin after others only. A
+        run has at most twice as many bigrams, repeats counted, as the template.
+        """
+        m, p = self.sizes[i], self.percent
+        hit = np.fromiter((i in self.having.get(b, ()) for b in pairs), bool, len(pairs))
+        reach = 2 * self.lengths[i]
+        for a in np.flatnonzero(hit & ~np.concatenate([[False], hit[:-1]])):
+            new = before[a : a + reach] < a
+            n = np.cumsum(new)
+            c = np.cumsum(new & hit[a : a + reach])
+            gain = 200 * c - p * (n + m)
+            k = int(gain.argmax())
+            if gain[k] >= 0:
+                yield int(gain[k]), int(a), int(a) + k, 2 * int(c[k]) / (int(n[k]) + m), self.names[i]
+
+
+def _lines_of_words(text: str) -> tuple[np.ndarray, list[int]]:
+    """Numbers of lines, and of words in each."""
+    counts = [len(_WORD.findall(line.encode().lower())) for line in text.split("\n")]
+    return np.arange(len(counts)), counts
 
 
 def units(text: str) -> Iterator[tuple[int, int, str]]:
@@ -128,7 +194,8 @@ def scan_licenses(
     """One row per document: doc_id, matches (first_line, last_line, license, dice; in the order found).
 
     Lines end at line feeds and count from 0; blocks end at lines of blanks only. A unit matches its likest template if
-    their Dice coefficient is at least ``percent`` / 100.
+    their Dice coefficient is at least ``percent`` / 100. Passages (see ``Templates.passages``) come after the units, with
+    the lines on which they begin and end, unless they overlap a unit that matches with as much gain.
 
     A null or empty text, and a unit of fewer than two words, matches nothing. Repeated rows and null ids are rows like
     others, other columns are ignored, an empty table gives no rows.
@@ -141,11 +208,7 @@ def scan_licenses(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             matches = [
-                [
-                    {"first_line": a, "last_line": b, "license": best[1], "dice": best[0]}
-                    for a, b, unit in units(text or "")
-                    if (best := known.best(unit))
-                ]
+                [{"first_line": a, "last_line": b, "license": name, "dice": dice} for a, b, dice, name in known.matches(text or "")]
                 for text in batch.column(1).to_pylist()
             ]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(matches, kind)], names=["doc_id", "matches"])

@@ -318,6 +318,50 @@ def test_licenses(spark):
     assert {(3, ()), (4, ())} <= found and n > 3
 
 
+def plain_passage(text, template):
+    """The greatest Dice coefficient of any run of words with the template."""
+    words = re.findall(r"[0-9a-z]+", text.lower())
+    own, best = licenses.bigrams(template), 0
+    for a in range(len(words)):
+        run, shared = set(), 0
+        for b in list(zip(words[a:], words[a + 1 :]))[: 2 * len(template.split()) - 2]:
+            pair = tuple(x.encode() for x in b)
+            shared += pair in own and pair not in run
+            run.add(pair)
+            best = max(best, 2 * shared / (len(run) + len(own)))
+    return best
+
+
+def test_licenses_spread_over_blocks_or_inside_others(spark):
+    apache, mit, gpl = (licenses.TEMPLATES[i][1] for i in (1, 4, 6))
+    parts = lambda text, *cuts: re.sub("(" + "|".join(cuts) + ")", r"\n\n\1", text)
+    texts = [
+        "MIT License\n\nCopyright (c) 2020 X\n\n" + parts(mit, "The above copyright", "THE SOFTWARE IS") + "\n\nend",
+        "Copyright 2020 X\n\n" + parts(apache, "http", "Unless"),
+        parts(gpl, "This program is distributed"),
+        f"some other words {mit} and words after it " + "more " * 50,
+        f"this tool is {licenses.TEMPLATES[2][1]} and that one is {licenses.TEMPLATES[0][1]} " + "many words follow here " * 9,
+    ]
+    names = [{"MIT"}, {"Apache-2.0"}, {"GPL-3.0-or-later"}, {"MIT"}, {"MIT", "Apache-2.0"}]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r.matches for r in licenses.scan_licenses(df).collect()}
+    assert [{m.license for m in found[i]} for i in range(len(texts))] == names
+    whole = max(found[0], key=lambda m: m.dice)
+    assert (whole.first_line, whole.last_line, whole.dice) == (4, 8, 1.0)
+
+
+def test_license_passages_are_the_best_runs():
+    rng, words = random.Random(8), "a b c d e f g h".split()
+    for _ in range(300):
+        template = " ".join(rng.choices(words, k=rng.randrange(4, 14)))
+        near = [w if rng.random() < 0.9 else "x" for w in template.split()]
+        text = "\n".join([" ".join(rng.choices(words, k=9)), " ".join(near), " ".join(rng.choices(words, k=5))])
+        known = licenses.Templates((("T", template),), 80)
+        found = known.passages(text)
+        best = plain_passage(text, template)
+        assert (max(m[2] for m in found) == pytest.approx(best)) if best >= 0.8 else not found
+
+
 def test_warc_round_trip(spark, tmp_path):
     pages = [(1, "http://a/", "<p>x</p>"), (2, "http://b/", "<p>x</p>"), (2, "http://b/", "<p>x</p>"), (3, None, None)]
     pages += [(4, "u: v\r\nw", ""), (None, "http://n/", "<p>x</p>"), (5, "é", "long " * 50000), (6, "", "\r\n\r\nWARC/1.1")]
