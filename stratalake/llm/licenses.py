@@ -14,6 +14,7 @@ import re
 from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
+from importlib import resources
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # fixed values: notices and texts as the licences themselves word them
-TEMPLATES = (
+_NOTICES = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     (
         "Apache-2.0",
@@ -69,6 +70,146 @@ TEMPLATES = (
         "distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
     ),
 )
+_AS_IS = (
+    'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, '
+    "INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE "
+    "DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, "
+    "SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR "
+    "SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, "
+    "WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE "
+    "OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+_BSD = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+    "following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of "
+    "conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, "
+    "this list of conditions and the following disclaimer in the documentation and/or other materials provided with the "
+    "distribution. "
+)
+_NO_NAMES = (
+    "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+    "products derived from this software without specific prior written permission. "
+)
+_ISC = (
+    "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+    "granted, provided that the above copyright notice and this permission notice appear in all copies. "
+)
+_NO_WARRANTY = (
+    'THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL '
+    "IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, "
+    "INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN "
+    "ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF "
+    "THIS SOFTWARE."
+)
+_GNU = (
+    "{what} is free software: you can redistribute it and/or modify it under the terms of the GNU {kind} Public License as "
+    "published by the Free Software Foundation, either version {version} of the License, or (at your option) any later "
+    "version. {what} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied "
+    "warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {kind} Public License for more details."
+)
+_CC = {
+    "BY": "Attribution",
+    "BY-SA": "Attribution-ShareAlike",
+    "BY-ND": "Attribution-NoDerivatives",
+    "BY-NC": "Attribution-NonCommercial",
+    "BY-NC-SA": "Attribution-NonCommercial-ShareAlike",
+    "BY-NC-ND": "Attribution-NonCommercial-NoDerivatives",
+}
+_COMMON = (
+    ("BSD-2-Clause", _BSD + _AS_IS),
+    ("BSD-3-Clause", _BSD + _NO_NAMES + _AS_IS),
+    ("ISC", _ISC + _NO_WARRANTY),
+    ("ISC", _NO_WARRANTY),
+    ("0BSD", _ISC.partition(", provided")[0] + ". " + _NO_WARRANTY),
+    (
+        "Zlib",
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held "
+        "liable for any damages arising from the use of this software. Permission is granted to anyone to use this software "
+        "for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the "
+        "following restrictions: 1. The origin of this software must not be misrepresented; you must not claim that you wrote "
+        "the original software. If you use this software in a product, an acknowledgment in the product documentation would "
+        "be appreciated but is not required. 2. Altered source versions must be plainly marked as such, and must not be "
+        "misrepresented as being the original software. 3. This notice may not be removed or altered from any source "
+        "distribution.",
+    ),
+    (
+        "Unlicense",
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, "
+        "compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, "
+        "commercial or non-commercial, and by any means. In jurisdictions that recognize copyright laws, the author or authors "
+        "of this software dedicate any and all copyright interest in the software to the public domain. We make this "
+        "dedication for the benefit of the public at large and to the detriment of our heirs and successors. We intend this "
+        "dedication to be an overt act of relinquishment in perpetuity of all present and future rights to this software under "
+        'copyright law. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT '
+        "LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL "
+        "THE AUTHORS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, "
+        "ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE. For more "
+        "information, please refer to https://unlicense.org",
+    ),
+    *(
+        (f"{name}-{version}{'.0' * ('.' not in version)}-or-later", _GNU.format(what=what, kind=kind, version=version))
+        for name, kind, what, versions in (
+            ("GPL", "General", "This program", "2"),
+            ("LGPL", "Lesser General", "This library", "2.1 3"),
+            ("LGPL", "Lesser General", "This program", "2.1 3"),
+            ("LGPL", "Library General", "This library", "2"),
+            ("AGPL", "Affero General", "This program", "3"),
+        )
+        for version in versions.split()
+    ),
+    ("Apache-2.0", "Licensed under the Apache License 2.0."),
+    ("Apache-2.0", "Licensed under the Apache 2.0 License."),
+    ("Apache-2.0", "Released under the Apache License, Version 2.0."),
+    ("Apache-2.0", "SPDX-License-Identifier: Apache-2.0"),
+    ("MIT", "Licensed under the MIT License."),
+    ("MIT", "SPDX-License-Identifier: MIT"),
+    ("BSD-2-Clause", "Licensed under the BSD 2-Clause License."),
+    ("BSD-3-Clause", "Licensed under the BSD 3-Clause License."),
+    ("ISC", "Licensed under the ISC License."),
+    ("MPL-2.0", "Licensed under the Mozilla Public License, version 2.0."),
+    *(
+        (f"{short}-{version}", f"Licensed under the GNU {kind} Public License, version {version.removesuffix('.0')}.")
+        for short, kind, versions in (
+            ("GPL", "General", "2.0 3.0"),
+            ("LGPL", "Lesser General", "2.1 3.0"),
+            ("AGPL", "Affero General", "3.0"),
+        )
+        for version in versions.split()
+    ),
+    *(
+        row
+        for short, name in _CC.items()
+        for row in (
+            (f"CC-{short}-4.0", f"This work is licensed under a Creative Commons {name} 4.0 International License."),
+            (f"CC-{short}-4.0", f"Licensed under CC {short} 4.0."),
+        )
+    ),
+    ("CC0-1.0", "This work is dedicated to the public domain under CC0 1.0 Universal."),
+)
+#: Whole licences: files of the folder license_texts.
+_WHOLE = {
+    "AGPL-3": "AGPL-3.0",
+    "Apache-2.0": "Apache-2.0",
+    "Artistic": "Artistic-1.0-Perl",
+    "BSL-1.0": "BSL-1.0",
+    "CC0-1.0": "CC0-1.0",
+    "GFDL-1.2": "GFDL-1.2",
+    "GFDL-1.3": "GFDL-1.3",
+    "GPL-1": "GPL-1.0",
+    "GPL-2": "GPL-2.0",
+    "GPL-3": "GPL-3.0",
+    "LGPL-2": "LGPL-2.0",
+    "LGPL-2.1": "LGPL-2.1",
+    "LGPL-3": "LGPL-3.0",
+    "MPL-1.1": "MPL-1.1",
+    "MPL-2.0": "MPL-2.0",
+}
+_TEXTS = resources.files(__package__) / "license_texts"
+TEMPLATES = tuple(
+    dict.fromkeys(
+        (*_NOTICES, *_COMMON, *((name, (_TEXTS / file).read_text("utf-8")) for file, name in _WHOLE.items()))
+    )
+)
 #: Likeness from which a text counts as the licence.
 PERCENT = 80
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")

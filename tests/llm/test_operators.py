@@ -1,6 +1,7 @@
 """Each operator against a plain version, on texts with nulls, repeats, ties, empty and long ones, and odd columns."""
 
 import hashlib
+import os
 import random
 import re
 
@@ -362,6 +363,22 @@ def test_license_passages_are_the_best_runs():
         assert (max(m[2] for m in found) == pytest.approx(best)) if best >= 0.8 else not found
 
 
+def test_common_licenses_are_known():
+    known = licenses.Templates(licenses.TEMPLATES, licenses.PERCENT)
+    for name, text in licenses.TEMPLATES:  # similar licences are told apart, alone and inside a document
+        assert known.best(text)[:2] == (1.0, name)
+        assert (1.0, name) in [m[2:] for m in known.matches(f"A title\n\nsome words before {text}\n\nand after it")]
+    names = {name for name, _ in licenses.TEMPLATES}
+    assert {"BSD-2-Clause", "BSD-3-Clause", "GPL-2.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0", "Apache-2.0", "MPL-2.0"} <= names
+    debian = open("/usr/share/common-licenses/GPL-2").read() if os.path.exists("/usr/share/common-licenses/GPL-2") else None
+    assert debian is None or known.matches(debian)[-1][2:] == (1.0, "GPL-2.0")
+    # paragraphs with blank lines between them, and another holder's name
+    bsd = next(t for n, t in licenses.TEMPLATES if n == "BSD-3-Clause").replace("the copyright holder nor", "Example Inc. nor")
+    laid_out = re.sub(r" (\d\. |THIS SOFTWARE IS)", r"\n\n\1", bsd)
+    assert "BSD-3-Clause" in {m[3] for m in known.matches("Copyright (c) 2020, Example Inc.\n\n" + laid_out)}
+    assert {m[3] for m in known.matches("Licensed under the Apache License 2.0")} == {"Apache-2.0"}
+
+
 def test_warc_round_trip(spark, tmp_path):
     pages = [(1, "http://a/", "<p>x</p>"), (2, "http://b/", "<p>x</p>"), (2, "http://b/", "<p>x</p>"), (3, None, None)]
     pages += [(4, "u: v\r\nw", ""), (None, "http://n/", "<p>x</p>"), (5, "é", "long " * 50000), (6, "", "\r\n\r\nWARC/1.1")]
