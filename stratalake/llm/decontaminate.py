@@ -35,9 +35,9 @@ def _slot(words: list[Column]) -> Column:
 def item_windows(benchmark: DataFrame, size: int = 10, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
     """Columns window (its words) and items (ids of the items that hold it).
 
-    An item of fewer words than ``size``, but not none, is one window. Items with a null id take no part.
+    An item of fewer words than ``size``, but not none, is one window. Items with a null id give windows, but no id.
     """
-    items = benchmark.where(F.col(id_col).isNotNull()).select(
+    items = benchmark.select(
         F.col(id_col).cast("string").alias("item_id"), normal_words(F.col(text_col).cast("string")).alias("words")
     )
     begins = F.sequence(F.lit(1), F.greatest(F.size("words") - size + 1, F.lit(1)))
@@ -64,7 +64,7 @@ def contamination(
     that has fewer. ``items`` are strings in ascending order.
 
     A null or wordless text has no words and no hits. Rows that repeat a doc_id are judged each by its own text; rows
-    with a null doc_id are judged too. Repeated items count once, items without words or id never. Other columns are
+    with a null doc_id are judged too. Repeated items count once, items without words never, and items without an id count for hits but are not in ``items``. Other columns are
     ignored. Without documents there are no rows, without items no hits.
     """
     windows = item_windows(benchmark, size, item_col, item_text_col)

@@ -319,6 +319,13 @@ def test_licenses(spark):
     assert {(3, ()), (4, ())} <= found and n > 3
 
 
+def test_contamination_by_items_without_id(spark):
+    docs = spark.createDataFrame([(1, "a b c d"), (2, "x y z"), (3, "q")], "doc_id long, text string")
+    items = spark.createDataFrame([(None, "B c"), (None, "y z"), (7, "y z"), (None, None)], "item_id long, text string")
+    found = decontaminate.contamination(docs, items)
+    assert table(found, "doc_id", "hits", "items") == [(1, [2, 3], []), (2, [2, 3], ["7"]), (3, [], [])]
+
+
 def plain_passage(text, template):
     """The greatest Dice coefficient of any run of words with the template."""
     words = re.findall(r"[0-9a-z]+", text.lower())
