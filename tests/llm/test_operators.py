@@ -210,6 +210,23 @@ def test_line_groups(docs, rows):
     assert len(set(got.values())) < len(got) - 5
 
 
+@pytest.mark.parametrize("options", [{}, {"distance": None}])
+def test_near_copies_of_very_long_lines(spark, options):
+    rng = random.Random(12)
+    base = ["".join(rng.choices("abcdefg", k=400)) for _ in range(3000)]
+    other = ["".join(rng.choices("abcdefg", k=400)) for _ in range(3000)]
+    texts = [" ".join(base), " ".join([*base[:700], "changed", *base[701:]]), " ".join(other)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert table(line_dedup.line_groups(df, **options), "doc_id", "first_doc_id") == [(0, 0), (1, 0), (2, 2)]
+
+
+def test_packed_and_wide_counters_agree(docs, monkeypatch):
+    groups = lambda: table(line_dedup.line_groups(docs), "doc_id", "row_key", "line_no", "first_doc_id", "first_line_no")
+    packed = groups()
+    monkeypatch.setattr(line_dedup, "MAX_PACKED_BYTES", 300)
+    assert groups() == packed
+
+
 def edit_groups(rows, percent):
     """Line places by the first place of their group, if the edit similarity alone decides."""
     places = {}
