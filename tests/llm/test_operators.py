@@ -227,6 +227,14 @@ def test_packed_and_wide_counters_agree(docs, monkeypatch):
     assert groups() == packed
 
 
+def test_least_words_follow_from_percent(spark):
+    assert [line_dedup.least_words(p) for p in (50, 75, 80, 90)] == [2, 4, 5, 10]
+    long = "".join(random.Random(3).choices("abcdefg", k=400))  # one word decides the SimHash
+    df = spark.createDataFrame([(1, f"{long} b c d"), (2, f"{long} b x d")], "doc_id long, text string")
+    groups = lambda p: table(line_dedup.line_groups(df, percent=p), "doc_id", "first_doc_id")
+    assert groups(75) == [(1, 1), (2, 1)] and groups(80) == [(1, 1), (2, 2)]
+
+
 def edit_groups(rows, percent):
     """Line places by the first place of their group, if the edit similarity alone decides."""
     places = {}
