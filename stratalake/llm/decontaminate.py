@@ -58,7 +58,8 @@ def contamination(
     item_col: str = "item_id",
     item_text_col: str = "text",
 ) -> DataFrame:
-    """One row per document: doc_id, n_words, hits (numbers of its words inside a benchmark window), items (their ids).
+    """One row per document: doc_id, row_key (hash of the text), n_words, hits (numbers of its words inside a benchmark
+    window), items (their ids).
 
     Both sides are lower-cased (A-Z) and cut into words; a window is ``size`` consecutive words, or all words of an item
     that has fewer. ``items`` are strings in ascending order.
@@ -116,6 +117,6 @@ def contamination(
             F.array_sort(F.array_distinct(F.flatten(F.collect_list(covered)))).alias("hits"),
             F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
         )
-        .select("doc_id", "n_words", "hits", "items", F.explode(F.sequence(F.lit(1), "copies")).alias("copy"))
+        .select("doc_id", "row_key", "n_words", "hits", "items", F.explode(F.sequence(F.lit(1), "copies")).alias("copy"))
         .drop("copy")
     )
