@@ -8,9 +8,12 @@ from pyspark.sql import functions as F
 
 from . import (
     decontaminate,
+    lexical_search,
     licenses,
     line_dedup,
     near_dedup,
+    personal_data,
+    prefix_trie,
     quality,
     sentencepiece_bpe,
     substring_dedup,
@@ -108,6 +111,30 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"), shingle=4)
 
 
+def op11_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = personal_data.find_personal_data(_table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda x: x["base"])
+    counts = [
+        F.size(F.filter(base, lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+        for kind in personal_data.BASE_KINDS
+    ]
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(personal_data.spans_text(base), 256).alias("base_sha256"),
+        personal_data.spans_text(F.col("spans")).alias("spans"),
+    )
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.rank(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = prefix_trie.sequences(_table(spark, sf_dir, "conversations"))
+    return prefix_trie.trie(prefix_trie.with_shared_heads(rows))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -121,6 +148,9 @@ QUERIES = {
         op8_vptree,
         op9_decontaminate,
         op10_near_dedup,
+        op11_personal_data,
+        op12_lexical_search,
+        op13_prefix_trie,
     )
 }
 
@@ -132,6 +162,7 @@ def _quoted(text: str) -> str:
 _TEMPLATE_ROWS = ", ".join(f"({i}, {_quoted(name)}, {_quoted(text)})" for i, (name, text) in enumerate(licenses.TEMPLATES))
 _ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _LOWERED = f"translate(coalesce(text, ''), '{_ASCII_UPPER}', '{_ASCII_UPPER.lower()}')"
+_TERMS = "[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
 _BIGRAMS = (
     "list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))"
 )
@@ -251,4 +282,91 @@ ORACLES = {
         part as (select x as doc_id, min(root) as component_id from reach group by x)
         select doc_id, coalesce(n, 0) as n_shingles, component_id, doc_id = component_id as kept
         from w left join n using (doc_id) join part using (doc_id)""",
+    # spans are marked by two private characters, which the text itself then may not hold
+    "op11_personal_data": r"""
+        with d as (
+            select doc_id, translate(coalesce(text, ''), chr(57344) || chr(57345), chr(63743) || chr(63743)) as t from documents),
+        marked as (
+            select doc_id, 0 as k, regexp_replace(t, '([A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+)', chr(57344) || '\1' || chr(57345), 'g') as s from d
+            union all
+            select doc_id, 1, regexp_replace(t, '([0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+))', chr(57344) || '\1' || chr(57345), 'g') from d
+            union all
+            select doc_id, 2, regexp_replace(t, '([0-9](?:[\x20-]?[0-9])+)', chr(57344) || '\1' || chr(57345), 'g') from d
+            union all
+            select doc_id, 3, regexp_replace(t, '(\+[0-9][\x20().0-9-]+[0-9])', chr(57344) || '\1' || chr(57345), 'g') from d),
+        parts as (
+            select doc_id, k, unnest(string_split(s, chr(57344))) as x, generate_subscripts(string_split(s, chr(57344)), 1) as i
+            from marked),
+        found as (
+            select doc_id, k, i, split_part(x, chr(57345), 1) as m, coalesce(sum(length(x) - (i > 1)::int) over
+                (partition by doc_id, k order by i rows between unbounded preceding and 1 preceding), 0)::bigint as a from parts),
+        digits as (
+            select *, regexp_replace(m, '[^0-9]', '', 'g') as g, reverse(regexp_replace(m, '[^0-9]', '', 'g')) as z
+            from found where i > 1),
+        good as (
+            select doc_id, k, a, a + length(m) as b from digits where case k
+                when 0 then true
+                when 1 then len(list_filter(string_split(m, '.'), lambda x: length(ltrim(x, '0')) > 3
+                    or right('000' || x, 3)::int > 255)) = 0
+                when 2 then length(g) between 12 and 19 and list_sum(list_transform(range(1, length(z) + 1), lambda j:
+                    case when j % 2 = 1 then z[j]::int else 2 * z[j]::int // 10 + 2 * z[j]::int % 10 end)) % 10 = 0
+                else length(g) between 9 and 15 end),
+        s as (
+            select doc_id, count(*) filter (k = 0) as n_email, count(*) filter (k = 1) as n_ip, count(*) filter (k = 2) as n_card,
+                   count(*) filter (k = 3) as n_phone,
+                   string_agg(['email', 'ip', 'card', 'phone'][k + 1] || ':' || a || ':' || b, ',' order by a, k) as spans
+            from good group by doc_id)
+        select doc_id, coalesce(n_email, 0) as n_email, coalesce(n_ip, 0) as n_ip, coalesce(n_card, 0) as n_card,
+               coalesce(n_phone, 0) as n_phone, sha256(coalesce(spans, '')) as base_sha256, coalesce(spans, '') as spans
+        from d left join s using (doc_id)""",
+    "op12_lexical_search": f"""
+        with d as (select doc_id, regexp_extract_all({_LOWERED}, '{_TERMS}') as w from documents),
+        n as (select doc_id, len(w) as n from d where len(w) > 0),
+        every as (select count(*)::bigint as nd, sum(n)::bigint as lt from n),
+        b as (
+            select distinct item_id, term
+            from (select item_id, unnest(regexp_extract_all({_LOWERED}, '{_TERMS}')) as term from benchmark)),
+        tf as (
+            select doc_id, term, count(*) as tf from (select doc_id, unnest(w) as term from d) x
+            where term in (select term from b) group by all),
+        w as (
+            select term, floor(1000 * ln((2 * nd + 2) / (2 * df + 1)))::bigint as w
+            from (select term, count(*) as df from tf group by term), every),
+        s as (
+            select item_id, doc_id,
+                   sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + ((90 * n * nd) // lt)))))::bigint as score
+            from b join tf using (term) join w using (term) join n using (doc_id), every group by all)
+        select item_id, row_number() over (partition by item_id order by score desc, doc_id)::int as rank, doc_id, score
+        from s where score > 0 qualify rank <= 10""",
+    "op13_prefix_trie": r"""
+        with t as (
+            select conv_id, row_number() over (partition by conv_id order by turn nulls first) as pos,
+                   {'r': coalesce(role, ''), 't': coalesce(text, '')} as x
+            from conversations where conv_id is not null),
+        c as (
+            select conv_id, xor(list_reduce(list_transform(string_split(conv_id::varchar, ''), lambda x: ascii(x)::bigint),
+                lambda a, b: list_reduce([0, 0, 0, 0, 0, 0, 0, 0]::bigint[],
+                    lambda x, i: case when x & 1 = 1 then xor(x >> 1, 3988292384) else x >> 1 end, xor(a, b)),
+                4294967295::bigint), 4294967295) % 4 as h
+            from (select distinct conv_id from t)),
+        r as (
+            select c.conv_id, 0 as own, pos, x from c join t on t.conv_id = c.conv_id - c.conv_id % 20 and pos <= h
+            union all select conv_id, 1, pos, x from c join t using (conv_id) where pos > h),
+        s as (
+            select c.conv_id, coalesce(list(x order by own, pos) filter (x is not null), []) as q
+            from c left join r using (conv_id) group by c.conv_id),
+        p as (select conv_id, len(q) as n, d, list_slice(q, 1, d) as k from (select *, unnest(range(0, len(q) + 1)) as d from s)),
+        nodes as (
+            select k, d, min(conv_id) as conv_id, count(*) as n_convs,
+                   string_agg(conv_id::varchar, ',' order by conv_id) filter (n = d) as ends from p group by k, d),
+        kids as (select list_slice(k, 1, d - 1) as k, count(*) as n_children from nodes where d > 0 group by 1),
+        f as (select nodes.*, coalesce(n_children, 0) as n_children from nodes left join kids using (k)),
+        sub as (
+            select list_slice(k, 1, a) as k, sum((n_children = 0)::int)::bigint as n_leaves,
+                   sum((n_convs - 1) * case when d = 0 then 0
+                       else len(regexp_extract_all(k[d].t, '[^\x20\x09-\x0D]+')) end)::bigint as saved_tokens
+            from (select *, unnest(range(0, d + 1)) as a from f) group by 1)
+        select f.conv_id, f.d as depth, u.conv_id as parent_conv_id, f.n_convs, f.n_children, n_leaves, saved_tokens,
+               sha256(coalesce(f.ends, '')) as ends_sha256
+        from f join sub using (k) left join nodes u on f.d > 0 and u.k = list_slice(f.k, 1, f.d - 1)""",
 }
