@@ -230,11 +230,12 @@ def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     turns = table.column("ids").combine_chunks()
     offsets = turns.offsets.to_numpy().astype(np.int64)
     flat = turns.flatten().cast(pa.large_binary())
-    raw = np.frombuffer(flat.buffers()[2] or b"", ">u8")
+    ids = np.zeros((0, 2), np.uint64)
     if len(flat):
-        raw = raw[np.frombuffer(flat.buffers()[1], np.int64)[flat.offset] // 8 :][: 2 * len(flat)]
+        first = int(np.frombuffer(flat.buffers()[1], np.int64)[flat.offset])
+        raw = np.frombuffer(flat.buffers()[2], np.uint8)[first : first + 16 * len(flat)]
+        ids = raw.view(">u8").astype(np.uint64).reshape(-1, 2)
     words = table.column("words").combine_chunks().flatten().to_numpy().astype(np.int64)
-    ids = raw.astype(np.uint64).reshape(-1, 2)
     yield from _batches(TaskContext.get().partitionId(), _Shard(conv, offsets - offsets[0], ids, words))
 
 

@@ -1,0 +1,321 @@
+"""Personal data, ranked search and the prefix trie against plain versions, with nulls, repeats, ties, empty and long rows."""
+
+import hashlib
+import math
+import random
+import re
+import time
+import zlib
+from collections import Counter, defaultdict
+
+import pytest
+
+from stratalake.llm import lexical_search, personal_data, prefix_trie, queries
+
+PATTERNS = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+TERM = re.compile("[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
+LOWER = {c: c + 32 for c in range(65, 91)}
+
+
+def plain_luhn(digits):
+    total = 0
+    for i, d in enumerate(map(int, reversed(digits))):
+        total += d if i % 2 == 0 else (2 * d if d < 5 else 2 * d - 9)
+    return total % 10 == 0
+
+
+def plain_spans(text):
+    out = []
+    for k, (kind, pattern) in enumerate(PATTERNS.items()):
+        for m in re.finditer(pattern, text or ""):
+            digits = re.sub("[^0-9]", "", m[0])
+            good = {
+                "email": True,
+                "ip": all(int(p) <= 255 for p in m[0].split(".")) if kind == "ip" else None,
+                "card": 12 <= len(digits) <= 19 and plain_luhn(digits),
+                "phone": 9 <= len(digits) <= 15,
+            }[kind]
+            if good:
+                out.append((m.start(), k, kind, m.end()))
+    return [(kind, a, b) for a, _, kind, b in sorted(out)]
+
+
+def base(text):
+    return [(x.kind, x.start, x.end) for x in personal_data.find_spans(text) if x.base]
+
+
+@pytest.mark.parametrize("alphabet", ["12. ", "07 -", "+1 ().-5", "a.@-1", "aB1@.+ -(", "é9 4@.x+", "0.255"])
+def test_base_spans_are_those_of_the_patterns(alphabet):
+    rng = random.Random(alphabet)
+    for _ in range(4000):
+        text = "".join(rng.choices(alphabet, k=rng.randrange(45)))
+        assert base(text) == plain_spans(text), text
+
+
+def test_base_spans_in_prose():
+    rng = random.Random(3)
+    card = "4111 1111 1111 1111"
+    parts = ["mail a.b+c@mail.example.com,", "10.0.0.1", "1.2.3.999", card, "4111-1111-1111-1112", "+1 (864) 555-0138", "x@y", "é漢"]
+    for _ in range(300):
+        text = " ".join(rng.choices(parts, k=12))
+        assert base(text) == plain_spans(text)
+    assert base(card) == [("card", 0, 19)] and base(None) == base("") == []
+    assert base("00000255.1.1.1 256.1.1.1") == [("ip", 0, 14)]
+
+
+@pytest.mark.parametrize("text", ["1" * 2_000_000, "a" * 2_000_000 + "@", "1." * 1_000_000, "@a" * 1_000_000, "+1 " * 700_000, "AB12" * 500_000])
+def test_long_texts_take_time_in_proportion(text):
+    start = time.perf_counter()
+    personal_data.find_spans(text)
+    assert time.perf_counter() - start < 15
+
+
+def test_further_kinds_need_their_check_or_context():
+    kinds = lambda t: [(x.kind, t[x.start : x.end]) for x in personal_data.find_spans(t)]
+    assert kinds("to GB82 WEST 1234 5698 7654 32 IS") == [("iban", "GB82 WEST 1234 5698 7654 32")]
+    assert kinds("DE89370400440532013000.") == [("iban", "DE89370400440532013000")]
+    assert kinds("DE89370400440532013001") == [] and kinds("xDE89370400440532013000") == []
+    assert kinds("DE893704004405320130001") == [] and kinds("DE89  370400440532013000") == []
+    assert kinds("his SSN: 123-45-6789") == [("ssn", "123-45-6789")]
+    assert kinds("part 123-45-6789") == kinds("ssn 000-45-6789") == kinds("ssn 1123-45-6789") == []
+    plain, near = (personal_data.find_spans(t)[0].score for t in ("4111111111111111", "my credit card 4111111111111111"))
+    assert plain < near
+
+
+def test_further_spans_never_cross_base_ones():
+    text = "ssn +1 123-45-6789 and ssn 123-45-6789"
+    assert [(x.kind, x.base) for x in personal_data.find_spans(text)] == [("phone", True), ("ssn", False)]
+
+
+def documents(spark, rows, more=""):
+    return spark.createDataFrame(rows, "doc_id bigint, text string" + more)
+
+
+def test_personal_data_rows(spark):
+    rows = [(1, "a@b.cd"), (1, "a@b.cd"), (None, "10.0.0.1"), (2, None), (3, ""), (4, "x" * 100_000 + " a@b.cd")]
+    docs = documents(spark, [(*r, "s", 1) for r in rows], ", spans string, value int")
+    found = sorted(personal_data.find_personal_data(docs).collect(), key=repr)
+    assert len(found) == 6
+    assert {r["doc_id"]: [(x["kind"], x["start"], x["end"], x["value"]) for x in r["spans"]] for r in found} == {
+        1: [("email", 0, 6, "a@b.cd")],
+        None: [("ip", 0, 8, "10.0.0.1")],
+        2: [],
+        3: [],
+        4: [("email", 100_001, 100_007, "a@b.cd")],
+    }
+    assert personal_data.find_personal_data(documents(spark, [])).count() == 0
+    clean = personal_data.redact(docs)
+    assert clean.schema == docs.schema and clean.count() == 6
+    texts = {r["doc_id"]: r["text"] for r in clean.collect()}
+    assert texts == {1: "[EMAIL]", None: "[IP]", 2: None, 3: "", 4: "x" * 100_000 + " [EMAIL]"}
+
+
+def test_redaction_covers_overlapping_spans():
+    text = "+378282246310005, a@b.cd"
+    spans = personal_data.find_spans(text)
+    assert [x.kind for x in spans] == ["phone", "card", "email"]
+    assert personal_data.redacted(text, spans) == "[PHONE], [EMAIL]"
+
+
+# Ranked search
+
+
+def terms_of(text):
+    return TERM.findall((text or "").translate(LOWER))
+
+
+def plain_rank(docs, items, k=10):
+    words = [(i, Counter(terms_of(t))) for i, t in docs]
+    words = [(i, c) for i, c in words if c]
+    every, total = len(words), sum(c.total() for _, c in words)
+    df = Counter(t for _, c in words for t in c)
+    terms = defaultdict(set)
+    for item, text in items:
+        terms[item] |= set(terms_of(text))
+    out = []
+    for item, wanted in terms.items():
+        scored = []
+        for doc, c in words:
+            m = 100 - 90 + (90 * c.total() * every) // total
+            score = sum(
+                math.floor(1000 * math.log((2 * every + 2) / (2 * df[t] + 1))) * (10**9 * c[t] // (1000 * c[t] + 8 * m))
+                for t in wanted & c.keys()
+            )
+            if score > 0:
+                scored.append((-score, doc is None, doc or 0, doc))
+        out += [(item, n, x[3], -x[0]) for n, x in enumerate(sorted(scored)[:k], 1)]
+    return sorted(out, key=repr)
+
+
+def corpus(seed, n):
+    rng = random.Random(seed)
+    vocabulary = ["".join(rng.choices("abéÉß漢1", k=rng.randrange(1, 4))) for _ in range(60)] + ["A", "a", "the", "The"]
+    separators = [" ", "  ", ".", "\n", "\x00", "-", "@", "'", "_"]
+    text = lambda k: "".join(rng.choice(vocabulary) + rng.choice(separators) for _ in range(k))
+    return [(i, text(rng.randrange(0, 50))) for i in range(n)], [(i, text(rng.randrange(0, 6))) for i in range(12)]
+
+
+def found_by(spark, docs, items, k=10):
+    frame = spark.createDataFrame(items, "item_id bigint, text string")
+    return sorted(map(tuple, lexical_search.rank(documents(spark, docs).repartition(5), frame, k).collect()), key=repr)
+
+
+def test_search_matches_a_plain_version(spark):
+    docs, items = corpus(1, 150)
+    docs += [(1000, None), (1001, ""), (1002, " .,"), (None, "the A"), (3, "the the a"), (1003, "É" * 5000)]
+    items += [(50, None), (51, "..."), (None, "the"), (3, "a the"), (3, "b")]
+    want = plain_rank(docs, items)
+    assert found_by(spark, docs, items) == want
+    assert {r[0] for r in want} >= {None, 3} and not {50, 51} & {r[0] for r in want}
+
+
+def test_search_with_several_automata_and_pieces(spark, monkeypatch):
+    docs, items = corpus(2, 120)
+    docs.append((999, "the quick é " * 3000))
+    items.append((99, "quick the"))
+    monkeypatch.setattr(lexical_search, "AUTOMATON_BYTES", 60)
+    monkeypatch.setattr(lexical_search, "PIECE_BYTES", 64)
+    monkeypatch.setattr(lexical_search, "CELLS", 16)
+    assert found_by(spark, docs, items, 3) == plain_rank(docs, items, 3)
+
+
+def test_search_breaks_ties_by_document(spark):
+    docs = [(i, "same words here") for i in range(40, 0, -1)] + [(i, "other") for i in range(100, 140)]
+    got = found_by(spark, docs, [(7, "words")], 5)
+    assert [(r[1], r[2]) for r in got] == [(1, 1), (2, 2), (3, 3), (4, 4), (5, 5)] and len({r[3] for r in got}) == 1
+
+
+def test_search_on_empty_tables_and_odd_columns(spark):
+    docs, items = corpus(3, 20)
+    assert found_by(spark, [], items) == found_by(spark, docs, []) == found_by(spark, [(1, "..")], items) == []
+    frame = documents(spark, [(i, t, "x", 5, "y") for i, t in docs], ", term string, rank int, item string")
+    named = spark.createDataFrame([(f"q{i}", t, 1) for i, t in items], "item_id string, text string, score int")
+    got = lexical_search.rank(frame, named)
+    assert got.columns == ["item_id", "rank", "doc_id", "score"]
+    want = plain_rank(docs, [(f"q{i}", t) for i, t in items])
+    assert sorted(map(tuple, got.collect()), key=repr) == want
+
+
+def test_sums_are_exact_beyond_doubles():
+    import numpy as np
+
+    cell, value = np.array([0, 0, 2, 2, 2]), np.array([2**55 + 1, 2, 1, 2**40, 0])
+    for cells in (3, 1 << 40):
+        found, total = lexical_search._sums(cell, value, cells)
+        assert found.tolist() == [0, 2] and total.tolist() == [2**55 + 3, 2**40 + 1]
+
+
+# Prefix trie
+
+
+def plain_trie(turns, every=20, most=4):
+    own = defaultdict(list)
+    for conv, turn, role, text in turns:
+        if conv is not None:
+            own[conv].append((turn is not None, turn or 0, role or "", text or ""))
+    own = {c: [(r, t) for _, _, r, t in sorted(x)] for c, x in own.items()}
+    rebuilt = {}
+    for c, x in own.items():
+        h = zlib.crc32(str(c).encode()) % most
+        rebuilt[c] = own.get(c - math.fmod(c, every), [])[:h] + x[h:]
+    nodes = defaultdict(list)
+    for c, x in rebuilt.items():
+        for d in range(len(x) + 1):
+            nodes[tuple(x[:d])].append(c)
+    children = Counter(k[:-1] for k in nodes if k)
+    leaves, saved = Counter(), Counter()
+    for k, members in nodes.items():
+        words = len(re.findall("[^\x20\x09-\x0d]+", k[-1][1])) if k else 0
+        for d in range(len(k) + 1):
+            leaves[k[:d]] += not children[k]
+            saved[k[:d]] += (len(members) - 1) * words
+    out = []
+    for k, members in nodes.items():
+        ends = ",".join(map(str, sorted(c for c in members if len(rebuilt[c]) == len(k))))
+        parent = min(nodes[k[:-1]]) if k else None
+        digest = hashlib.sha256(ends.encode()).hexdigest()
+        out.append((min(members), len(k), parent, len(members), children[k], leaves[k], saved[k], digest))
+    return sorted(out, key=repr)
+
+
+def nodes_of(spark, turns, more=()):
+    kind = "conv_id bigint, turn bigint, role string, text string" + "".join(f", {c} int" for c in more)
+    frame = spark.createDataFrame([(*t, *(1 for _ in more)) for t in turns], kind).repartition(5)
+    rows = prefix_trie.trie(prefix_trie.with_shared_heads(prefix_trie.sequences(frame)))
+    return sorted(map(tuple, rows.collect()), key=repr)
+
+
+def chats(seed, n, deepest=6):
+    rng = random.Random(seed)
+    out = []
+    for c in rng.sample(range(-3 * n, 3 * n), n):
+        for turn in range(rng.randrange(1, deepest)):
+            out.append((c, turn, rng.choice(["user", "bot", None]), rng.choice(["hi there", "", None, "a b c", "é  x\ty"])))
+    return out
+
+
+@pytest.mark.parametrize(("least", "key", "block"), [(5_000, 4, 8), (20, 4, 8), (5, 2, 2), (3, 1, 1), (5, 3, 4)])
+def test_trie_matches_a_plain_version(spark, monkeypatch, least, key, block):
+    monkeypatch.setattr(prefix_trie, "TURNS_PER_SHARD", max(least, 10))
+    monkeypatch.setattr(prefix_trie, "LEAST_TURNS", least)
+    monkeypatch.setattr(prefix_trie, "KEY_TURNS", key)
+    monkeypatch.setattr(prefix_trie, "BLOCK", block)
+    monkeypatch.setattr(prefix_trie, "IDS_PER_LIST", 3)
+    turns = chats(least, 150)
+    assert nodes_of(spark, turns) == plain_trie(turns)
+
+
+def test_trie_of_copies_in_many_shards(spark, monkeypatch):
+    monkeypatch.setattr(prefix_trie, "TURNS_PER_SHARD", 40)
+    monkeypatch.setattr(prefix_trie, "IDS_PER_LIST", 4)
+    hot = [("user", "hello you"), ("bot", "yes what"), ("user", "a"), ("bot", "b"), ("user", "c c"), ("bot", "d")]
+    turns = [(c, t, *hot[t]) for c in range(1, 200) for t in range(6 if c % 3 else 4)]
+    turns += [(500, t, "user", f"turn {t} of a long one") for t in range(300)]
+    turns += [(520, t, "user", f"turn {t} of a long one") for t in range(200)]
+    assert nodes_of(spark, turns) == plain_trie(turns)
+
+
+def test_trie_edge_cases(spark):
+    turns = [
+        (None, 0, "user", "nobody"),
+        (20, None, "user", "null turn first"),
+        (20, 0, "user", "x"),
+        (20, -5, None, None),
+        (21, 0, "user", "only turn"),
+        (22, 0, "user", "only turn"),
+        (22, 1, "user", "z" * 300_000),
+        (45, 1, "user", "twice"),
+        (45, 1, "user", "twice"),
+    ]
+    assert nodes_of(spark, turns, ("key", "shard", "turns", "head", "h")) == plain_trie(turns)
+    assert nodes_of(spark, []) == [] and nodes_of(spark, [(None, 1, "a", "b")]) == []
+
+
+def test_turnless_conversations_belong_to_the_root(spark):
+    # the head of 40 is shorter than what 41 to 59 take from it, and 60 does not exist
+    turns = [(40, 0, "user", "a")] + [(c, t, "user", f"{c} {t}") for c in [*range(41, 60), *range(61, 80)] for t in range(c % 4)]
+    got = nodes_of(spark, turns)
+    assert got == plain_trie(turns)
+    assert any(r[1] == 0 and r[7] != hashlib.sha256(b"").hexdigest() for r in got)
+
+
+@pytest.mark.parametrize("name", ["op11_personal_data", "op12_lexical_search", "op13_prefix_trie"])
+def test_whole_tables_match_plain_versions(spark, name):
+    sf = "/root/testdata/sf0.001"
+    table = lambda t, *c: [tuple(r) for r in spark.read.parquet(f"{sf}/{t}.parquet").select(*c).collect()]
+    got = sorted(map(tuple, queries.QUERIES[name](spark, sf).collect()), key=repr)
+    docs = table("documents", "doc_id", "text")
+    if name == "op11_personal_data":
+        joined = {i: [":".join(map(str, x)) for x in plain_spans(t)] for i, t in docs}
+        assert {r[0]: r[6] for r in got} == {i: ",".join(x) for i, x in joined.items()}
+        assert all(r[5] == hashlib.sha256(r[6].encode()).hexdigest() for r in got)
+        assert all(r[1:5] == tuple(sum(x.startswith(k) for x in joined[r[0]]) for k in PATTERNS) for r in got)
+    elif name == "op12_lexical_search":
+        assert got == plain_rank(docs, table("benchmark", "item_id", "text"))
+    else:
+        assert got == plain_trie(table("conversations", "conv_id", "turn", "role", "text"))
