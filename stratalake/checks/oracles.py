@@ -65,6 +65,16 @@ def _select(body: str) -> str:
     return f"WITH {_TRIPS} {body}"
 
 
+def _corrected(rows: str) -> str:
+    """Trips after the corrections: those named get another amount, and come once more for a new vendor."""
+    named = "l_linenumber = 7 AND trip_distance = 50"
+    return (
+        f"SELECT {_SILVER}, source_file FROM (SELECT * REPLACE (CASE WHEN {named} THEN total_amount + 1 ELSE total_amount END "
+        f"AS total_amount) FROM {rows} UNION ALL "
+        f"SELECT * REPLACE (vendorid + 1000000 AS vendorid, total_amount + 1 AS total_amount) FROM {rows} WHERE {named})"
+    )
+
+
 def _summary(rows: str) -> str:
     return (
         'SELECT "year", "month", payment_type, count(*) AS total_trips, '
@@ -145,6 +155,8 @@ ORACLES: dict[str, str] = {
     ),
     "silver_clean": _select(f"SELECT {_SILVER}, source_file FROM per_trip"),
     "silver_upsert": _select(f"SELECT {_SILVER}, source_file FROM merged"),
+    "upsert_touched_files": _select(_corrected("per_trip")),
+    "upsert_by_location": _select(_corrected("merged")),
     "merge_frames": _select(f"SELECT {_SILVER}, source_file FROM merged"),
     "merge_matched_update": _select(
         f"SELECT {_SILVER}, source_file FROM source s "

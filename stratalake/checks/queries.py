@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from stratalake import functions as X
 from stratalake import operators as O
+from stratalake import sinks
 from stratalake.checks.fixtures import RAW_SCHEMA, SURVIVOR_ORDER, label_of, trips_raw, write_dropzone
 from stratalake.config import (
     DATE_FORMAT,
@@ -237,6 +238,34 @@ def silver_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_layer(spark, layer.path, PARTITION_COLUMNS).select(*_silver_columns(), "source_file")
 
 
+def _corrections(trips: DataFrame) -> DataFrame:
+    """About one trip in 350, all over the table, with another amount; and as many trips of new vendors."""
+    some = trips.filter("l_linenumber = 7 and trip_distance = 50").withColumn("total_amount", F.col("total_amount") + 1)
+    return some.unionByName(some.withColumn("vendorid", F.col("vendorid") + 1_000_000))
+
+
+def upsert_touched_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Corrections merged into a table of several files a month; files without a corrected trip stay as they are."""
+    trips = conform_trips(trips_raw(spark, sf_dir), SURVIVOR_ORDER, descending=False, one_per_merge_key=True)
+    layer = Layer(scratch_dir(spark, "upsert-files"), keys=MERGE_KEYS)
+    for part in range(4):
+        some = trips.filter(F.pmod("vendorid", F.lit(4)) == part)
+        write_partitioned(some, layer.path, "append" if part else "overwrite", PARTITION_COLUMNS)
+    stored = read_layer(spark, layer.path, PARTITION_COLUMNS)
+    upsert_table(spark, _corrections(stored), layer, NULLABLE_MERGE_KEYS)
+    return read_layer(spark, layer.path, PARTITION_COLUMNS).select(*_silver_columns(), "source_file")
+
+
+def upsert_by_location(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two lots and corrections merged into a catalog table whose partitions move to each merge's folder."""
+    silver = _config(spark, "upsert-location").silver
+    for source in _target_and_source(spark, sf_dir):
+        sinks.upsert_by_location(spark, source, silver, NULLABLE_MERGE_KEYS)
+    corrections = _corrections(spark.table(silver.qualified_name))
+    sinks.upsert_by_location(spark, corrections, silver, NULLABLE_MERGE_KEYS)
+    return spark.table(silver.qualified_name).select(*_silver_columns(), "source_file")
+
+
 def merge_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     target, source = _target_and_source(spark, sf_dir)
     return O.merge_frames(target, source, MERGE_KEYS).select(*_silver_columns(), "source_file")
@@ -437,6 +466,8 @@ QUERIES: dict[str, Query] = {
         merge_key_conflicts,
         silver_clean,
         silver_upsert,
+        upsert_touched_files,
+        upsert_by_location,
         merge_frames,
         merge_matched_update,
         merge_not_matched_insert,

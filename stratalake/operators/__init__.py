@@ -1,5 +1,6 @@
 """DataFrame -> DataFrame steps. None of them touches storage."""
 
+from stratalake.operators.changes import Changes, change_rows, replaced_rows
 from stratalake.operators.clean import (
     clean_trips,
     conform_trips,
@@ -10,6 +11,7 @@ from stratalake.operators.clean import (
 )
 from stratalake.operators.dedup import DuplicateKeyError, any_per_key, first_per_key, key_conflicts, require_unique
 from stratalake.operators.enrich import with_lineage, with_pickup_date
+from stratalake.operators.files import matching_files
 from stratalake.operators.merge import (
     inserted_rows,
     merge_frames,
@@ -20,19 +22,23 @@ from stratalake.operators.metrics import StepCount, measure_while, step_report
 from stratalake.operators.summary import monthly_summary, preview
 
 __all__ = [
+    "Changes",
     "DuplicateKeyError",
     "StepCount",
     "any_per_key",
+    "change_rows",
     "clean_trips",
     "conform_trips",
     "first_per_key",
     "inserted_rows",
     "key_conflicts",
+    "matching_files",
     "measure_while",
     "merge_frames",
     "monthly_summary",
     "preview",
     "rejected_trips",
+    "replaced_rows",
     "require_unique",
     "retained_rows",
     "step_report",

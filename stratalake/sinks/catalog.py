@@ -8,7 +8,7 @@ from pyspark.sql import Row, SparkSession
 from pyspark.sql import types as T
 
 from stratalake.config import Layer
-from stratalake.sources.storage import qualified
+from stratalake.sources.storage import partition_folder, qualified
 
 
 def columns_of(schema: T.StructType, partition_columns: Sequence[str] = ()) -> list[tuple[str, str, bool]]:
@@ -29,25 +29,42 @@ def registered_location(spark: SparkSession, layer: Layer) -> str | None:
     return details.filter("col_name = 'Location'").first()["data_type"]
 
 
+def _spec(layer: Layer, values: Row) -> str:
+    return "PARTITION (" + ", ".join(f"`{c}` = {values[c]}" for c in layer.partition_columns) + ")"
+
+
 def _add_partitions(spark: SparkSession, layer: Layer, partitions: Sequence[Row]) -> None:
     for start in range(0, len(partitions), 100):
-        specs = " ".join(
-            "PARTITION (" + ", ".join(f"`{c}` = {p[c]}" for c in layer.partition_columns) + ")"
-            for p in partitions[start : start + 100]
-        )
+        specs = " ".join(_spec(layer, p) for p in partitions[start : start + 100])
         spark.sql(f"ALTER TABLE {layer.qualified_name} ADD IF NOT EXISTS {specs}")
 
 
-def register_table(
-    spark: SparkSession, layer: Layer, schema: T.StructType, partitions: Sequence[Row] | None = None
-) -> bool:
-    """Register the layer if it is missing, then let the catalog know its partitions.
+def place_partitions(spark: SparkSession, layer: Layer, partitions: Sequence[Row], folder: str) -> None:
+    """Let the catalog find these partitions below ``folder``, whether it knew them or not.
 
-    ``partitions`` names those that the last load wrote. Without it, for a new table, or if one of
-    them is the NULL partition, all folders of the table are listed instead.
+    Each of them moves in one step; readers that began before go on with the files they listed.
+    """
+    for p in partitions:
+        if None in tuple(p):
+            raise ValueError(f"a partition without a value cannot be placed: {p}")
+    name = layer.qualified_name
+    known = {r["partition"] for r in spark.sql(f"SHOW PARTITIONS {name}").collect()}
+    moving, new = [], []
+    for p in partitions:
+        folders = partition_folder("", p, layer.partition_columns)[1:]
+        place = _spec(layer, p), f"LOCATION {_text(f'{folder}/{folders}')}"
+        (moving if folders in known else new).append(place)
+    for start in range(0, len(new), 100):
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {' '.join(' '.join(p) for p in new[start : start + 100])}")
+    for spec, location in moving:
+        spark.sql(f"ALTER TABLE {name} {spec} SET {location}")
+    spark.catalog.refreshTable(layer.qualified_name)
+
+
+def create_table(spark: SparkSession, layer: Layer, schema: T.StructType) -> bool:
+    """Create the layer's catalog table over its path, without partitions, if it is missing. Returns whether it was.
 
-    Safe to run after every load. Returns whether the table was new. A table of that name that
-    points elsewhere is an error rather than silently kept.
+    A table of that name that points elsewhere is an error rather than silently kept.
     """
     if layer.qualified_name is None:
         raise ValueError(f"{layer.path} has no database and table name")
@@ -63,9 +80,23 @@ def register_table(
             f"CREATE TABLE IF NOT EXISTS {layer.qualified_name} ({columns}) USING parquet "
             f"PARTITIONED BY ({parts}) LOCATION {_text(layer.path)}"
         )
-    if known is None or partitions is None or any(None in p for p in partitions):
+    return known is None
+
+
+def register_table(
+    spark: SparkSession, layer: Layer, schema: T.StructType, partitions: Sequence[Row] | None = None
+) -> bool:
+    """Register the layer if it is missing, then let the catalog know its partitions.
+
+    ``partitions`` names those that the last load wrote. Without it, for a new table, or if one of
+    them is the NULL partition, all folders of the table are listed instead.
+
+    Safe to run after every load. Returns whether the table was new.
+    """
+    new = create_table(spark, layer, schema)
+    if new or partitions is None or any(None in tuple(p) for p in partitions):
         spark.sql(f"MSCK REPAIR TABLE {layer.qualified_name}")
     else:
         _add_partitions(spark, layer, partitions)
     spark.catalog.refreshTable(layer.qualified_name)
-    return known is None
+    return new

@@ -1,13 +1,12 @@
-"""The stored form of the upsert: merge into the partitions that the source touches.
+"""The stored form of the upsert: rewrite the files that hold a match, in the partitions that the source touches.
 
 The layer's keys must determine its partition columns, so that a match can only lie in the same
-partition. Then only partitions present in the source are read and replaced.
+partition. Of these partitions only files with a matching key are read and replaced; the others keep their names. Looking for
+them reads the key columns once more. A source of more than half as many rows as its partitions hold is taken to match
+every file instead.
 
-The merge result first goes to a folder inside the table that readers do not see. Once it is
-complete it replaces the partitions. A run that dies at any point loses nothing: an incomplete
-result is dropped, and a complete one is published by the next run, which gives the same table
-however often it is done. One writer per table at a time. A reader during the publish step can
-see some partitions replaced and others not yet.
+The result is written once and published by renaming, see :mod:`stratalake.sinks.pending`. A run that dies at any point
+loses nothing. One writer per table at a time.
 """
 
 from __future__ import annotations
@@ -21,47 +20,67 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from stratalake.config import Layer
+from stratalake.operators.changes import Changes, change_rows
 from stratalake.operators.dedup import as_sortable, first_per_key, require_unique
+from stratalake.operators.files import matching_files
 from stratalake.operators.merge import check_columns, merge_frames
+from stratalake.sinks import pending
 from stratalake.sinks.partitioned import write_partitioned
-from stratalake.sources.storage import mark, path_exists, remove, table_exists
-from stratalake.sources.tables import in_partitions, partition_counts, read_layer
+from stratalake.sinks.pending import finish_pending
+from stratalake.sinks.pending import pending_mark as _pending_mark
+from stratalake.sinks.pending import pending_rows as _pending_rows
+from stratalake.sources.storage import remove, size_in_bytes, table_exists
+from stratalake.sources.tables import in_partitions, partition_counts, read_files, read_layer
+
+#: Matching files are looked for if the touched partitions hold at least so many rows per source row.
+PROBE_FACTOR = 2
 
 
 @dataclass(frozen=True)
 class UpsertResult:
-    """``partitions`` lists the partitions that were rewritten, or is None after a first load."""
+    """``partitions`` lists the partitions that were changed, or is None after a first load; ``replaced`` files went."""
 
     source_rows: int
     partitions: list[Row] | None
+    replaced: int = 0
 
 
 def _without_counts(partitions: Sequence[Row], partition_columns: Sequence[str]) -> list[Row]:
     return [Row(**{c: p[c] for c in partition_columns}) for p in partitions]
 
 
-def _pending_rows(layer: Layer) -> str:
-    return f"{layer.path}/.pending/rows"
+def _broadcast_bytes(spark: SparkSession) -> int:
+    """Stored size up to which a source is taken to be broadcast; a table read from Parquet is larger in memory."""
+    return spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold() // 4
 
 
-def _pending_mark(layer: Layer) -> str:
-    return f"{layer.path}/.pending/complete"
+def _publish(spark: SparkSession, layer: Layer) -> None:
+    pending.publish(spark, layer)
 
 
-def finish_pending(spark: SparkSession, layer: Layer) -> None:
-    """Publish a complete merge result that an earlier run left, or drop an incomplete one."""
-    if path_exists(spark, _pending_mark(layer)):
-        merged = read_layer(spark, _pending_rows(layer), layer.partition_columns)
-        write_partitioned(merged, layer.path, "overwrite", layer.partition_columns, only_present=True, rebalance=False)
-        spark.catalog.refreshByPath(layer.path)
-        # The mark goes first: rows without it are never published, a mark without rows would fail.
-        remove(spark, _pending_mark(layer))
-    remove(spark, f"{layer.path}/.pending")
+def _matched(
+    spark: SparkSession, layer: Layer, source: DataFrame, touched: Sequence[Row], nullable_keys: Sequence[str]
+) -> tuple[DataFrame, list[str]]:
+    """Target rows of the files that are to be rewritten, and these files."""
+    parts = layer.partition_columns
+    target = read_layer(spark, layer.path, parts).filter(in_partitions(touched, parts))
+    source_rows = sum(p["row_count"] for p in touched)
+    if target.count() < PROBE_FACTOR * source_rows:  # read from the files' footers
+        return target, pending.files_of_partitions(spark, layer, touched)
+    files = matching_files(target, source.select(*layer.keys), layer.keys, source_rows, nullable_keys)
+    return read_files(spark, layer.path, files, target.schema), files
 
 
-def _publish(spark: SparkSession, layer: Layer) -> None:
-    mark(spark, _pending_mark(layer))
-    finish_pending(spark, layer)
+def _first_load(
+    spark: SparkSession, source: DataFrame, layer: Layer, nullable_keys: Sequence[str] | None
+) -> UpsertResult:
+    """Write the table once; it appears when its keys are known to be unique. Without ``nullable_keys`` they are not checked."""
+    rows = write_partitioned(source, _pending_rows(layer), "overwrite", layer.partition_columns)["rows"]
+    if rows and nullable_keys is not None:
+        require_unique(read_layer(spark, _pending_rows(layer), layer.partition_columns), layer.keys, nullable_keys)
+    pending.note_obsolete(spark, layer, [])
+    _publish(spark, layer)
+    return UpsertResult(rows, None)
 
 
 def upsert_table(
@@ -70,21 +89,23 @@ def upsert_table(
     layer: Layer,
     nullable_keys: Sequence[str] = (),
     check_source: bool = True,
+    changes: Changes | None = None,
 ) -> UpsertResult:
     """Merge ``source`` into the table of ``layer`` on the layer's keys, or create the table.
 
-    The source is written once, to a folder beside the table. That cuts its lineage, gives the
+    A source to be merged is first written to a folder beside the table. That cuts its lineage, gives the
     optimizer its true size, and keeps it from being computed for each of its uses.
     ``check_source`` costs an aggregation over the keys; switch it off for a source that is
-    unique by construction.
+    unique by construction. With ``changes`` the rows before and after go to a folder of their own; they appear there
+    in the same step as in the table, and not at all if the run dies before it.
     """
     if not layer.keys:
         raise ValueError(f"{layer.path} has no merge keys")
     finish_pending(spark, layer)
     parts = layer.partition_columns
     first_load = not table_exists(spark, layer.path)
-    if first_load and not check_source:
-        return UpsertResult(write_partitioned(source, layer.path, "overwrite", parts)["rows"], None)
+    if first_load and changes is None:
+        return _first_load(spark, source, layer, nullable_keys if check_source else None)
 
     staged_path = f"{layer.path.rstrip('/')}.merge-source-{uuid.uuid4().hex}"
     try:
@@ -92,17 +113,25 @@ def upsert_table(
         staged = spark.read.schema(source.schema).parquet(staged_path)
         if check_source:
             require_unique(staged, layer.keys, nullable_keys)
-        if first_load:
-            return UpsertResult(write_partitioned(staged, layer.path, "overwrite", parts)["rows"], None)
-
         touched = partition_counts(staged, parts)
         source_rows = sum(p["row_count"] for p in touched)
-        if touched:
-            target = read_layer(spark, layer.path, parts).filter(in_partitions(touched, parts))
-            merged = merge_frames(target, staged, layer.keys, nullable_keys)
-            write_partitioned(merged, _pending_rows(layer), "overwrite", parts)
-            _publish(spark, layer)
-        return UpsertResult(source_rows, _without_counts(touched, parts))
+        if not touched:
+            return UpsertResult(0, None if first_load else [])
+        if first_load:
+            target, files = staged.limit(0), []
+        else:
+            check_columns(read_layer(spark, layer.path, parts), staged)
+            target, files = _matched(spark, layer, staged, touched, nullable_keys)
+        small = size_in_bytes(spark, staged_path) <= _broadcast_bytes(spark)
+        merged = merge_frames(target, staged, layer.keys, nullable_keys, small_source=small)
+        write_partitioned(merged, _pending_rows(layer), "overwrite", parts)
+        if changes is not None:
+            rows = change_rows(target, staged, layer.keys, nullable_keys)
+            rows.select("change", *changes.columns).write.mode("overwrite").parquet(pending.pending_changes(layer))
+            pending.note_destination(spark, layer, f"{changes.path}/{uuid.uuid4().hex}")
+        pending.note_obsolete(spark, layer, files)
+        _publish(spark, layer)
+        return UpsertResult(source_rows, None if first_load else _without_counts(touched, parts), len(files))
     finally:
         remove(spark, staged_path)
 
@@ -152,8 +181,9 @@ def upsert_first_per_key(
     may match as NULL. Both are checked along the way; where they do not hold the join does the
     work instead.
 
-    ``rows`` is read twice, the first time for its partitions and key columns alone. Should the
-    second reading bring other partitions, the join, which reads once, takes over as well.
+    ``rows`` is read first for its partitions and key columns alone, and then for the merge. Should the
+    second reading bring other partitions, the join, which reads once, takes over as well. A source that changes its rows
+    between the readings otherwise is not safe here: stage it.
     """
     finish_pending(spark, layer)
     parts, keys = layer.partition_columns, layer.keys
@@ -179,7 +209,7 @@ def upsert_first_per_key(
     if not profile:
         return UpsertResult(0, [])
 
-    target = stored.filter(in_partitions(profile, parts))
+    target, files = _matched(spark, layer, rows, profile, nullable_keys)
     # Rows of a partition that the first reading did not show would replace that partition unmerged.
     unusable = (F.col(_TARGET_ROWS) > 1) | ~F.coalesce(in_partitions(profile, parts), F.lit(False))
     merged = first_per_key_over(target, rows, keys, order, descending).withColumn(
@@ -196,5 +226,6 @@ def upsert_first_per_key(
     )
     if written["unusable"]:
         return joined()
+    pending.note_obsolete(spark, layer, files)
     _publish(spark, layer)
-    return UpsertResult(written["source_rows"], _without_counts(profile, parts))
+    return UpsertResult(written["source_rows"], _without_counts(profile, parts), len(files))

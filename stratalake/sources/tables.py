@@ -21,6 +21,13 @@ def read_layer(spark: SparkSession, path: str, partition_columns: Sequence[str]
     return spark.read.schema(T.StructType(fields)).parquet(path)
 
 
+def read_files(spark: SparkSession, path: str, files: Sequence[str], schema: T.StructType) -> DataFrame:
+    """Some files of the table at ``path``, with the table's columns."""
+    if not files:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", path).parquet(*files)
+
+
 def partition_counts(rows: DataFrame, partition_columns: Sequence[str], **measures: Column) -> list[Row]:
     """The partitions of ``rows`` with their row counts as ``row_count``: one row per table folder."""
     counts = [F.count(F.lit(1)).alias("row_count"), *[column.alias(name) for name, column in measures.items()]]

@@ -260,6 +260,9 @@ def test_register_is_repeatable_and_finds_new_partitions(spark, tmp_path):
     write_partitioned(frame(spark, [(9, "y", 2031)]), layer.path, "append", PARTS)
     assert register_table(spark, layer, df.schema, [Row(year=2031), Row(year=2020)]) is False
     assert spark.table(layer.qualified_name).filter("year = 2031").count() == 1
+    write_partitioned(frame(spark, [(9, "n", None)]), layer.path, "append", PARTS)
+    assert register_table(spark, layer, df.schema, [Row(year=None)]) is False
+    assert spark.table(layer.qualified_name).filter("year is null").count() == 2
     elsewhere = Layer(str(tmp_path / "other"), "stratalake_test_db", "t", partition_columns=PARTS)
     with pytest.raises(ValueError, match="is registered at"):
         register_table(spark, elsewhere, df.schema)
