@@ -75,6 +75,16 @@ def _corrected(rows: str) -> str:
     )
 
 
+def _moved(rows: str) -> str:
+    """A further table of trips after the corrections, which also have another payment type."""
+    named = "l_linenumber = 7 AND trip_distance = 50"
+    replaced = "'M' AS payment_type, total_amount + 1 AS total_amount"
+    return (
+        f", moved AS (SELECT * FROM {rows} WHERE NOT ({named}) UNION ALL SELECT * REPLACE ({replaced}) FROM {rows} WHERE {named} "
+        f"UNION ALL SELECT * REPLACE (vendorid + 1000000 AS vendorid, {replaced}) FROM {rows} WHERE {named})"
+    )
+
+
 def _summary(rows: str) -> str:
     return (
         'SELECT "year", "month", payment_type, count(*) AS total_trips, '
@@ -171,6 +181,16 @@ ORACLES: dict[str, str] = {
         f"{_summary('per_file')} UNION ALL SELECT * FROM ({_summary('per_file')}) WHERE payment_type IS NULL"
     ),
     "gold_upsert_nullsafe": _select(_summary("per_file")),
+    # doubles of 256 and more are whole numbers of 2^-44; the sum is rounded once, as its two halves are added
+    "gold_exact_sum": _select(
+        'SELECT "year", "month", payment_type, total_trips, (units // 17592186044416)::double '
+        "+ (units % 17592186044416)::double / 17592186044416 AS total_amount_collected FROM ("
+        'SELECT "year", "month", payment_type, count(*) AS total_trips, sum((total_amount / 3 * 17592186044416)::hugeint) AS units '
+        'FROM per_file GROUP BY "year", "month", payment_type)'
+    ),
+    "gold_delta_refresh": _select(
+        f"{_moved('merged')} {_summary('moved')}"
+    ),
     "preview_limit": _select(
         f"SELECT * FROM ({_summary('per_file')}) WHERE payment_type IS NOT NULL "
         'ORDER BY "year", "month", payment_type LIMIT 5'

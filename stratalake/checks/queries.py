@@ -31,8 +31,9 @@ from stratalake.config import (
     PipelineConfig,
     standard_layers,
 )
+from stratalake.operators.changes import Changes
 from stratalake.operators.clean import conform_trips
-from stratalake.plans import run_all, run_bronze, run_gold, run_silver
+from stratalake.plans import refresh_gold, run_all, run_bronze, run_gold, run_silver
 from stratalake.session import scratch_dir
 from stratalake.sinks import append_or_create, columns_of, register_table, upsert_table, write_partitioned
 from stratalake.sources import read_delimited, read_layer
@@ -293,6 +294,30 @@ def gold_aggregate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _summary(spark, sf_dir)
 
 
+def gold_exact_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Thirds of the amounts, which are no decimals, summed as the doubles that they are."""
+    trips = _conformed(spark, sf_dir).withColumn("total_amount", F.col("total_amount") / 3)
+    return O.monthly_summary(trips, exact="binary")
+
+
+def gold_delta_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two lots of trips, and corrections that move trips to another payment type; Gold takes in the changes of each."""
+    config = _config(spark, "gold-delta")
+    config = replace(config, gold_state=Layer(f"{config.gold.path}-state"))
+    changes = Changes(config.silver_changes, (*SUMMARY_KEYS, "total_amount"))
+    trips = _conformed(spark, sf_dir)
+
+    def refresh(rows: DataFrame) -> None:
+        upsert_table(spark, rows, config.silver, NULLABLE_MERGE_KEYS, changes=changes)
+        refresh_gold(spark, config)
+
+    for lot in ("F", "O"):
+        refresh(trips.filter(F.col("source_file") == lot))
+    moved = _corrections(read_layer(spark, config.silver.path, PARTITION_COLUMNS))
+    refresh(moved.withColumn("payment_type", F.lit("M")))
+    return spark.table(config.gold.qualified_name)
+
+
 def preview_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
     named = _summary(spark, sf_dir).filter(F.col("payment_type").isNotNull())
     return O.preview(named, SUMMARY_KEYS)
@@ -474,6 +499,8 @@ QUERIES: dict[str, Query] = {
         merge_target_retained,
         gold_upsert,
         gold_upsert_nullsafe,
+        gold_exact_sum,
+        gold_delta_refresh,
         preview_limit,
         partitioned_overwrite,
         partitioned_append,

@@ -66,6 +66,11 @@ class PipelineConfig:
     ``on_conflict`` decides what Silver does when several source rows share a merge key:
     ``"latest"`` keeps the last one in ``survivor_order`` (the first one if not
     ``survivor_descending``), ``"fail"`` raises.
+
+    With ``gold_state`` Silver upserts also keep the rows that they replace and bring, in a folder beside Silver, and Gold is
+    brought up to date from these rows and the stored parts of its totals, without reading Silver.
+
+    ``exact_amounts`` is ``exact`` of :func:`stratalake.operators.monthly_summary`.
     """
 
     dropzone: str | Sequence[str]
@@ -79,11 +84,19 @@ class PipelineConfig:
     on_conflict: str = "latest"
     survivor_order: tuple[str, ...] = LATEST_ARRIVAL
     survivor_descending: bool = True
-    exact_amounts: bool = True
+    exact_amounts: bool | str = True
+    gold_state: Layer | None = None
+
+    @property
+    def silver_changes(self) -> str | None:
+        """The folder of the rows that Silver upserts replaced and brought and that Gold has yet to take in."""
+        return f"{self.silver.path}.changes" if self.gold_state else None
 
     def __post_init__(self) -> None:
         if self.on_empty not in ("warn", "fail"):
             raise ValueError(f"on_empty must be 'warn' or 'fail', not {self.on_empty!r}")
+        if self.gold_state and not self.exact_amounts:
+            raise ValueError("only exact amounts can be added and taken away again")
         if self.on_conflict not in ("latest", "fail"):
             raise ValueError(f"on_conflict must be 'latest' or 'fail', not {self.on_conflict!r}")
 

@@ -7,7 +7,7 @@ from pyspark.sql import SparkSession
 from stratalake.config import PipelineConfig
 from stratalake.operators.metrics import StepCount
 from stratalake.plans.bronze import run_bronze
-from stratalake.plans.gold import run_gold
+from stratalake.plans.gold import refresh_gold, run_gold
 from stratalake.plans.silver import run_silver
 
 
@@ -16,5 +16,5 @@ def run_all(spark: SparkSession, config: PipelineConfig) -> list[StepCount]:
     steps = [run_bronze(spark, config)]
     silver_steps, touched = run_silver(spark, config)
     steps += silver_steps
-    steps.append(run_gold(spark, config, touched))
+    steps.append(refresh_gold(spark, config) if config.gold_state else run_gold(spark, config, touched))
     return steps

@@ -6,8 +6,10 @@ import logging
 
 from pyspark.sql import DataFrame, Row, SparkSession
 
-from stratalake.config import NULLABLE_MERGE_KEYS, PipelineConfig
+from stratalake.config import NULLABLE_MERGE_KEYS, SUMMARY_KEYS, PipelineConfig
+from stratalake.operators.changes import Changes
 from stratalake.operators.clean import clean_trips, conform_trips, rejected_trips
+from stratalake.operators.dedup import first_per_key
 from stratalake.operators.metrics import StepCount
 from stratalake.sinks.catalog import register_table
 from stratalake.sinks.partitioned import write_partitioned
@@ -22,7 +24,16 @@ def upsert_silver(spark: SparkSession, bronze: DataFrame, config: PipelineConfig
     """Conform ``bronze`` rows, merge them into Silver, and register it."""
     order, descending = config.survivor_order, config.survivor_descending
     rows = clean_trips(bronze)
-    if config.on_conflict == "latest":
+    if config.gold_state:
+        # what is replaced has to be known as it was, which the one shuffle of the other form does not tell
+        if config.on_conflict == "latest":
+            unique = first_per_key(rows, config.silver.keys, order, descending)
+        else:
+            unique = conform_trips(bronze, order, descending)
+        changes = Changes(config.silver_changes, (*SUMMARY_KEYS, "total_amount"))
+        check = config.on_conflict != "latest"
+        result = upsert_table(spark, unique, config.silver, NULLABLE_MERGE_KEYS, check, changes)
+    elif config.on_conflict == "latest":
         result = upsert_first_per_key(spark, rows, config.silver, order, descending, NULLABLE_MERGE_KEYS)
     else:
         result = upsert_table(spark, conform_trips(bronze, order, descending), config.silver, NULLABLE_MERGE_KEYS)
