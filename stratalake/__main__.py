@@ -70,9 +70,10 @@ def main(argv: list[str] | None = None) -> None:
         steps = [run_gold(spark, config)]
     elif args.step == "incremental":
         progress = f"{args.root.rstrip('/')}/progress"
-        ingest_new_files(spark, config, f"{progress}/ingest", args.max_files)
-        refresh_from_new_rows(spark, config, f"{progress}/refresh", args.max_files)
-        quarantine_new_rows(spark, config, f"{progress}/quarantine", args.max_files)
+        steps = ingest_new_files(spark, config, f"{progress}/ingest", args.max_files)
+        steps += refresh_from_new_rows(spark, config, f"{progress}/refresh", args.max_files)
+        if config.quarantine:
+            steps += quarantine_new_rows(spark, config, f"{progress}/quarantine", args.max_files)
     else:
         gold = read_layer(spark, config.gold.path, config.gold.partition_columns)
         export_jdbc(gold, args.jdbc_url, args.jdbc_table, driver=args.jdbc_driver)

@@ -215,6 +215,17 @@ ORACLES: dict[str, str] = {
     "incremental_ingest": _select(
         f'SELECT {_RAW}, source_file AS source_label, "year", "month" FROM ({_DATED_RAW})'
     ),
+    "incremental_bronze_table": _select(
+        "SELECT *, CASE WHEN source_label = 'F' THEN 0 ELSE 1 END AS batch FROM "
+        f'(SELECT {_RAW}, source_file AS source_label, "year", "month" FROM ({_DATED_RAW}))'
+    ),
+    "incremental_metrics": _select(
+        "SELECT 'bronze' AS step, count(*) AS \"rows\" FROM trips "
+        "UNION ALL SELECT 'silver', count(*) FROM per_file "
+        "UNION ALL SELECT 'quarantine', count(*) FROM dated WHERE p IS NULL OR d IS NULL "
+        f"UNION ALL SELECT 'gold', (SELECT count(*) FROM ({_summary('target')})) + (SELECT count(*) FROM ({_summary('merged')}) "
+        'WHERE ("year", "month") IN (SELECT ("year", "month") FROM source))'
+    ),
     "incremental_upsert": _select(f"SELECT {_SILVER}, source_file AS source_label FROM merged"),
     "incremental_refresh": _select(_summary("merged")),
 }

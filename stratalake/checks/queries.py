@@ -37,7 +37,13 @@ from stratalake.plans import refresh_gold, run_all, run_bronze, run_gold, run_si
 from stratalake.session import scratch_dir
 from stratalake.sinks import append_or_create, columns_of, register_table, upsert_table, write_partitioned
 from stratalake.sources import read_delimited, read_layer
-from stratalake.streaming import ingest_new_files, refresh_from_new_rows, upsert_new_rows
+from stratalake.streaming import (
+    ingest_new_files,
+    ingest_to_table,
+    quarantine_new_rows,
+    refresh_from_new_rows,
+    upsert_new_rows,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -450,6 +456,31 @@ def incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def incremental_bronze_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files arrive in two lots; each batch is a registered folder, read through the catalog."""
+    config = _config(spark, "bronze-table")
+    trips = trips_raw(spark, sf_dir)
+    for labels in (("F",), ("O",), ()):
+        write_dropzone(trips, _drop(config), labels)
+        ingest_to_table(spark, config, f"{_drop(config)}-progress")
+    return spark.table(config.bronze.qualified_name).select(
+        *RAW_COLUMNS, label_of().alias("source_label"), "batch", "year", "month"
+    )
+
+
+def incremental_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per step of incremental runs over two lots, summed over the runs."""
+    config = _config(spark, "incremental-metrics")
+    config = replace(config, quarantine=Layer(f"{_drop(config)}-rejected"))
+    trips, steps = trips_raw(spark, sf_dir), []
+    for labels in (("F",), ("O",)):
+        write_dropzone(trips, _drop(config), labels)
+        steps += ingest_new_files(spark, config, f"{_drop(config)}-ingested")
+        steps += refresh_from_new_rows(spark, config, f"{_drop(config)}-merged")
+        steps += quarantine_new_rows(spark, config, f"{_drop(config)}-quarantined")
+    return O.step_report(spark, steps).groupBy("step").agg(F.sum("rows").alias("rows"))
+
+
 def _two_lots(spark: SparkSession, sf_dir: str, name: str, step: Callable) -> PipelineConfig:
     config = _config(spark, name)
     trips = trips_raw(spark, sf_dir)
@@ -512,6 +543,8 @@ QUERIES: dict[str, Query] = {
         gold_run,
         medallion_end_to_end,
         incremental_ingest,
+        incremental_bronze_table,
+        incremental_metrics,
         incremental_upsert,
         incremental_refresh,
     )
