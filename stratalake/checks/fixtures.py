@@ -55,6 +55,26 @@ def write_dropzone(trips: DataFrame, path: str, labels: tuple[str, ...] = LABELS
     return folders
 
 
+# What is wrong with the records of long trips, by line number.
+DAMAGE = {4: "amount", 5: "id", 6: "short", 7: "long"}
+
+
+def write_damaged_dropzone(trips: DataFrame, path: str) -> str:
+    """All trips as delimited text, in which some records have a bad amount or id, a value less or a value more."""
+    wrong = F.when(F.col("trip_distance").cast("double") == 50, F.col("l_linenumber"))
+    fields = {name: F.coalesce(F.col(name).cast("string"), F.lit("")) for name in RAW_SCHEMA.names}
+    fields["total_amount"] = F.when(wrong == 4, F.lit("n/a")).otherwise(fields["total_amount"])
+    fields["vendorid"] = F.when(wrong == 5, F.concat(F.lit("x"), fields["vendorid"])).otherwise(fields["vendorid"])
+    whole = F.concat_ws(",", *fields.values())
+    short = F.concat_ws(",", *list(fields.values())[:-1])
+    line = F.when(wrong == 6, short).when(wrong == 7, F.concat(whole, F.lit(",more"))).otherwise(whole)
+    # the first line of each file goes behind a header
+    first = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0
+    header = F.lit(",".join(fields) + "\n")
+    trips.select(F.when(first, F.concat(header, line)).otherwise(line).alias("value")).write.text(path)
+    return path
+
+
 def label_of(path_column: str = "source_file"):
     """The label folder a row's file lies in."""
     return F.regexp_extract(path_column, "/([^/]+)/[^/]+$", 1)

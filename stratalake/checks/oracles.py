@@ -134,6 +134,19 @@ def _catalog() -> str:
 ORACLES: dict[str, str] = {
     "gold_aggregate": _select(_summary("per_file")),
     "csv_scan": _select(f"SELECT {_RAW} FROM trips"),
+    "csv_rescue": _select(
+        "SELECT * EXCLUDE (wrong, l_partkey) REPLACE (CASE WHEN wrong = 5 THEN NULL ELSE vendorid END AS vendorid, "
+        "CASE WHEN wrong = 4 THEN NULL ELSE total_amount END AS total_amount, "
+        "CASE WHEN wrong = 6 THEN NULL ELSE l_linenumber END AS l_linenumber), "
+        "CASE WHEN wrong >= 4 THEN concat_ws(',', CASE WHEN wrong = 5 THEN 'x' ELSE '' END || vendorid, tpep_pickup_datetime, "
+        "tpep_dropoff_datetime, passenger_count, trip_distance, coalesce(payment_type, ''), "
+        "CASE WHEN wrong = 4 THEN 'n/a' ELSE total_amount::varchar END, l_orderkey, l_partkey, "
+        "CASE WHEN wrong = 6 THEN NULL ELSE l_linenumber END, CASE WHEN wrong = 7 THEN 'more' END) END AS rescued_record, "
+        "CASE WHEN wrong < 4 OR wrong IS NULL THEN NULL WHEN tpep_pickup_datetime = 'bad' THEN 'pickup not a timestamp' "
+        "ELSE 'record does not fit its columns' END AS reject_reason "
+        f"FROM (SELECT {_RAW}, l_orderkey, l_partkey, l_linenumber, CASE WHEN trip_distance::double = 50 THEN l_linenumber END AS wrong "
+        "FROM trips)"
+    ),
     "table_scan": _select(f'SELECT {_RAW}, source_file, "year", "month" FROM ({_DATED_RAW})'),
     "bronze_enrich": _select(f"SELECT {_RAW}, source_file AS source_label, {_BRONZE_DATES} FROM ({_DATED_RAW})"),
     "lineage_columns": _select(

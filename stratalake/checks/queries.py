@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from stratalake import functions as X
 from stratalake import operators as O
 from stratalake import sinks
-from stratalake.checks.fixtures import RAW_SCHEMA, SURVIVOR_ORDER, label_of, trips_raw, write_dropzone
+from stratalake.checks.fixtures import RAW_SCHEMA, SURVIVOR_ORDER, label_of, trips_raw, write_damaged_dropzone, write_dropzone
 from stratalake.config import (
     DATE_FORMAT,
     DEDUP_KEYS,
@@ -122,6 +122,15 @@ def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_delimited(spark, folders, RAW_SCHEMA).select(*RAW_COLUMNS)
 
 
+def csv_rescue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records with a bad amount, a bad id, a value less or a value more, as they are read and why they are rejected."""
+    path = write_damaged_dropzone(trips_raw(spark, sf_dir), scratch_dir(spark, "csv-rescue"))
+    raw = read_delimited(spark, path, RAW_SCHEMA, rescue=True)
+    whole = O.fitting_trips(raw).withColumns({"rescued_record": F.lit(None).cast("string"), "reject_reason": F.lit(None)})
+    bad = O.rejected_trips(raw).where("rescued_record is not null")
+    return whole.unionByName(bad).select(*RAW_COLUMNS, "l_orderkey", "l_linenumber", "rescued_record", "reject_reason")
+
+
 def table_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "table-scan")
     write_partitioned(O.with_pickup_date(trips_raw(spark, sf_dir)), path, "overwrite", PARTITION_COLUMNS)
@@ -508,6 +517,7 @@ QUERIES: dict[str, Query] = {
     for q in (
         gold_aggregate,
         csv_scan,
+        csv_rescue,
         table_scan,
         bronze_enrich,
         lineage_columns,

@@ -13,6 +13,7 @@ DEDUP_KEYS = ("vendorid", "pickup_ts", "dropoff_ts", "source_file")
 MERGE_KEYS = ("vendorid", "pickup_ts", "dropoff_ts")
 SUMMARY_KEYS = ("year", "month", "payment_type")
 LATEST_ARRIVAL = ("ingestion_timestamp", "source_file")
+RESCUED = "rescued_record"
 TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
 DATE_FORMAT = "yyyy-MM-dd"
 TRIP_SCHEMA = T.StructType(
@@ -70,6 +71,9 @@ class PipelineConfig:
     With ``gold_state`` Silver upserts also keep the rows that they replace and bring, in a folder beside Silver, and Gold is
     brought up to date from these rows and the stored parts of its totals, without reading Silver.
 
+    With ``rescue`` Bronze has one more column, ``rescued_record``: the whole record of a row in which a value did not fit
+    its column, or with too few or too many values. Such rows go to the quarantine instead of Silver.
+
     ``exact_amounts`` is ``exact`` of :func:`stratalake.operators.monthly_summary`.
     """
 
@@ -86,6 +90,7 @@ class PipelineConfig:
     survivor_descending: bool = True
     exact_amounts: bool | str = True
     gold_state: Layer | None = None
+    rescue: bool = False
 
     @property
     def silver_changes(self) -> str | None:

@@ -4,6 +4,7 @@ from stratalake.operators.changes import Changes, change_rows, replaced_rows
 from stratalake.operators.clean import (
     clean_trips,
     conform_trips,
+    fitting_trips,
     rejected_trips,
     typed_trips,
     with_trip_period,
@@ -30,6 +31,7 @@ __all__ = [
     "clean_trips",
     "conform_trips",
     "first_per_key",
+    "fitting_trips",
     "inserted_rows",
     "key_conflicts",
     "matching_files",

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratalake.config import DATE_FORMAT, DEDUP_KEYS, LATEST_ARRIVAL, MERGE_KEYS, PARTITION_COLUMNS
+from stratalake.config import DATE_FORMAT, DEDUP_KEYS, LATEST_ARRIVAL, MERGE_KEYS, PARTITION_COLUMNS, RESCUED
 from stratalake.functions import parse_timestamp, to_double, to_int
 from stratalake.operators.dedup import first_per_key
 
@@ -27,8 +27,13 @@ def with_valid_dates(typed: DataFrame) -> DataFrame:
     return typed.filter(F.col("pickup_ts").isNotNull() & F.col("dropoff_ts").isNotNull())
 
 
+def fitting_trips(trips: DataFrame) -> DataFrame:
+    """Rows whose record had a fitting value for each column. Without a column of rescued records, all rows."""
+    return trips.filter(F.col(RESCUED).isNull()).drop(RESCUED) if RESCUED in trips.columns else trips
+
+
 def rejected_trips(trips: DataFrame) -> DataFrame:
-    """The rows that ``with_valid_dates`` drops, as they arrived, with the reason."""
+    """The rows that ``fitting_trips`` or ``with_valid_dates`` drops, as they arrived, with the reason."""
     no_pickup = parse_timestamp("tpep_pickup_datetime").isNull()
     no_dropoff = parse_timestamp("tpep_dropoff_datetime").isNull()
     reason = (
@@ -36,7 +41,11 @@ def rejected_trips(trips: DataFrame) -> DataFrame:
         .when(no_pickup, F.lit("pickup not a timestamp"))
         .when(no_dropoff, F.lit("dropoff not a timestamp"))
     )
-    return trips.filter(no_pickup | no_dropoff).withColumn("reject_reason", reason)
+    rejected = no_pickup | no_dropoff
+    if RESCUED in trips.columns:
+        misfit = F.col(RESCUED).isNotNull()
+        rejected, reason = rejected | misfit, reason.when(misfit, F.lit("record does not fit its columns"))
+    return trips.filter(rejected).withColumn("reject_reason", reason)
 
 
 def with_trip_period(typed: DataFrame) -> DataFrame:
@@ -55,8 +64,8 @@ def with_trip_period(typed: DataFrame) -> DataFrame:
 
 
 def clean_trips(trips: DataFrame) -> DataFrame:
-    """Bronze rows -> typed rows with valid dates and their period, duplicates included."""
-    return with_trip_period(with_valid_dates(typed_trips(trips)))
+    """Bronze rows -> typed rows that fit their columns, with valid dates and their period, duplicates included."""
+    return with_trip_period(with_valid_dates(typed_trips(fitting_trips(trips))))
 
 
 def conform_trips(
@@ -73,5 +82,5 @@ def conform_trips(
     one shuffle. The period follows from the pickup, a key, so it is added after that shuffle.
     """
     keys = MERGE_KEYS if one_per_merge_key else DEDUP_KEYS
-    valid = with_valid_dates(typed_trips(trips)).drop(*PARTITION_COLUMNS)
+    valid = with_valid_dates(typed_trips(fitting_trips(trips))).drop(*PARTITION_COLUMNS)
     return with_trip_period(first_per_key(valid, keys, order, descending))

@@ -1,0 +1,255 @@
+"""Incremental Bronze as a catalog table, counts of incremental runs, and records that do not fit."""
+
+import os
+import shutil
+from dataclasses import replace
+from pathlib import Path
+
+import pytest
+from conftest import rows_of
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from stratalake.config import RESCUED, Layer, PipelineConfig, standard_layers
+from stratalake.operators import StepCount, clean_trips, rejected_trips, with_lineage
+from stratalake.plans import run_all
+from stratalake.sources import read_delimited, read_layer
+from stratalake.streaming import (
+    batched,
+    ingest,
+    ingest_new_files,
+    ingest_to_table,
+    quarantine_new_rows,
+    refresh,
+    refresh_from_new_batches,
+    refresh_from_new_rows,
+    upsert_new_rows,
+)
+
+HEADER = "VendorID,tpep_pickup_datetime,tpep_dropoff_datetime,passenger_count,trip_distance,payment_type,total_amount"
+
+
+def trip(vendor, day, amount, payment="a", month=1):
+    stamp = f"2020-{month:02}-{day:02}" if day else "never"
+    return f"{vendor},{stamp} 00:00:00,2020-01-01 01:00:00,1,2.5,{payment},{amount}"
+
+
+def drop(folder, name, lines, mtime=1_700_000_000):
+    folder.mkdir(parents=True, exist_ok=True)
+    path = folder / name
+    path.write_text("\n".join([HEADER, *lines]) + "\n")
+    os.utime(path, (mtime, mtime))
+
+
+@pytest.fixture
+def config(spark, tmp_path):
+    tag = tmp_path.name
+    bronze, silver, gold = standard_layers(str(tmp_path), tuple(f"{x}_{tag}" for x in ("b", "s", "g")))
+    drop(tmp_path / "drop", "1.csv", [trip(1, 1, 10), trip(2, 2, 20), trip(3, 0, 30)])
+    yield PipelineConfig(str(tmp_path / "drop"), bronze, silver, gold, quarantine=Layer(str(tmp_path / "rejected")))
+    for x in ("b", "s", "g"):
+        spark.sql(f"DROP DATABASE IF EXISTS `{x}_{tag}` CASCADE")
+
+
+def loaded(spark, config):
+    return rows_of(spark.table(config.bronze.qualified_name).select("vendorid", "total_amount", "batch", "year", "month"))
+
+
+FIRST = [(1, 10.0, 0, 2020, 1), (2, 20.0, 0, 2020, 1), (3, 30.0, 0, None, None)]
+
+
+def test_each_batch_is_a_registered_folder(spark, config, tmp_path):
+    progress = str(tmp_path / "progress")
+    assert ingest_to_table(spark, config, progress) == [StepCount("bronze", 3)]
+    assert loaded(spark, config) == FIRST
+    assert ingest_to_table(spark, config, progress) == [StepCount("bronze", 0)]
+    drop(tmp_path / "drop", "2.csv", [trip(9, 9, 90, month=2)])
+    assert ingest_to_table(spark, config, progress) == [StepCount("bronze", 1)]
+    assert loaded(spark, config) == sorted([*FIRST, (9, 90.0, 1, 2020, 2)], key=repr)
+
+
+def test_files_per_batch_are_bounded(spark, config, tmp_path):
+    for i in range(2, 5):
+        drop(tmp_path / "drop", f"{i}.csv", [trip(i, i, i)])
+    assert ingest_to_table(spark, config, str(tmp_path / "progress"), 1) == [StepCount("bronze", 6)]
+    assert {r[2] for r in loaded(spark, config)} == {0, 1, 2, 3}
+
+
+@pytest.mark.parametrize("where", ["write", "register"])
+def test_batch_that_dies_and_is_repeated_adds_nothing(spark, config, tmp_path, monkeypatch, where):
+    progress = str(tmp_path / "progress")
+    ingest_to_table(spark, config, progress)
+    drop(tmp_path / "drop", "2.csv", [trip(9, 9, 90), trip(8, 8, 80)])
+    real = ingest.register_table if where == "register" else ingest.write_partitioned
+
+    def dies(*args, **kwargs):
+        real(*args, **kwargs)
+        raise RuntimeError("driver lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(ingest, "register_table" if where == "register" else "write_partitioned", dies)
+        with pytest.raises(Exception, match="driver lost"):
+            ingest_to_table(spark, config, progress)
+    if where == "write":
+        assert loaded(spark, config) == FIRST  # the folder is there, but the catalog does not know it
+    assert ingest_to_table(spark, config, progress) == [StepCount("bronze", 2)]
+    assert loaded(spark, config) == sorted([*FIRST, (9, 90.0, 1, 2020, 1), (8, 80.0, 1, 2020, 1)], key=repr)
+
+
+def test_table_belongs_to_one_checkpoint(spark, config, tmp_path):
+    ingest_to_table(spark, config, str(tmp_path / "progress"))
+    with pytest.raises(Exception, match="another checkpoint"):
+        ingest_to_table(spark, config, str(tmp_path / "other"))
+    assert loaded(spark, config) == FIRST
+    shutil.rmtree(Path(config.bronze.path) / "_filled_by")
+    with pytest.raises(Exception, match="other loads"):
+        ingest_to_table(spark, config, str(tmp_path / "third"))
+
+
+def test_table_needs_a_name_and_no_stream_log(spark, config, tmp_path):
+    with pytest.raises(ValueError, match="no database"):
+        ingest_to_table(spark, replace(config, bronze=Layer(str(tmp_path / "x"))), str(tmp_path / "p"))
+    ingest_new_files(spark, config, str(tmp_path / "q"))
+    with pytest.raises(ValueError, match="file stream"):
+        ingest_to_table(spark, config, str(tmp_path / "p"))
+
+
+def silver(spark, config):
+    return rows_of(read_layer(spark, config.silver.path, ("year", "month")).select("vendorid", "total_amount"))
+
+
+def test_layers_follow_the_registered_batches(spark, config, tmp_path, monkeypatch):
+    ingested, done = str(tmp_path / "ingested"), str(tmp_path / "refreshed")
+    assert refresh_from_new_batches(spark, config, done) == [StepCount("silver", 0), StepCount("gold", 0)]
+    ingest_to_table(spark, config, ingested)
+    assert refresh_from_new_batches(spark, config, done) == [StepCount("silver", 2), StepCount("gold", 1)]
+    assert refresh_from_new_batches(spark, config, done) == [StepCount("silver", 0), StepCount("gold", 0)]
+    drop(tmp_path / "drop", "2.csv", [trip(2, 2, 21), trip(4, 4, 40)], 1_700_000_100)
+    ingest_to_table(spark, config, ingested)
+    with monkeypatch.context() as patch:
+        patch.setattr(refresh, "run_gold", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            refresh_from_new_batches(spark, config, done)
+    assert refresh_from_new_batches(spark, config, done) == [StepCount("silver", 2), StepCount("gold", 1)]
+    assert silver(spark, config) == [(1, 10.0), (2, 21.0), (4, 40.0)]
+    gold = read_layer(spark, config.gold.path, ("year", "month")).first()
+    assert (gold.total_trips, gold.total_amount_collected) == (3, 71.0)
+
+
+# Counts
+
+
+def test_incremental_runs_return_their_counts(spark, config, tmp_path):
+    place = lambda name: str(tmp_path / name)
+    for i in range(2, 4):
+        drop(tmp_path / "drop", f"{i}.csv", [trip(i + 5, i, i), trip(i + 5, 0, i)])
+    assert ingest_new_files(spark, config, place("a"), 1) == [StepCount("bronze", 7)]
+    assert ingest_new_files(spark, config, place("a"), 1) == [StepCount("bronze", 0)]
+    assert upsert_new_rows(spark, config, place("b")) == [StepCount("silver", 4)]
+    assert refresh_from_new_rows(spark, config, place("c"), 1) == [StepCount("silver", 4), StepCount("gold", 3)]
+    assert quarantine_new_rows(spark, config, place("d")) == [StepCount("quarantine", 3)]
+    assert quarantine_new_rows(spark, config, place("d")) == [StepCount("quarantine", 0)]
+    assert spark.read.parquet(config.quarantine.path).count() == 3
+
+
+def test_repeated_batch_counts_once(spark, config, tmp_path, monkeypatch):
+    ingest_new_files(spark, config, str(tmp_path / "a"))
+    real, calls = refresh.run_gold, []
+
+    def dies_once(*args):
+        calls.append(1)
+        if len(calls) == 1:
+            raise RuntimeError("lost")
+        return real(*args)
+
+    monkeypatch.setattr(refresh, "run_gold", dies_once)
+    with pytest.raises(Exception, match="lost"):
+        refresh_from_new_rows(spark, config, str(tmp_path / "c"))
+    assert refresh_from_new_rows(spark, config, str(tmp_path / "c")) == [StepCount("silver", 2), StepCount("gold", 1)]
+
+
+def test_runs_without_input_count_nothing(spark, config, tmp_path):
+    assert upsert_new_rows(spark, config, str(tmp_path / "b")) == [StepCount("silver", 0)]
+    assert refresh_from_new_rows(spark, config, str(tmp_path / "c")) == [StepCount("silver", 0), StepCount("gold", 0)]
+    assert quarantine_new_rows(spark, config, str(tmp_path / "d")) == [StepCount("quarantine", 0)]
+
+
+# Records that do not fit
+
+SHORT = "5,2020-01-05 00:00:00,2020-01-05 01:00:00,1,2.5,a"
+DAMAGED = [
+    trip(1, 1, 10),
+    trip(2, 2, "n/a"),
+    trip("x3", 3, 30),
+    SHORT,
+    f"{trip(6, 6, 60)},more",
+    trip("x7", 0, 70),
+    f'8,2020-01-08 00:00:00,2020-01-08 01:00:00,1,2.5,"a,b",80',
+]
+REASONS = {
+    trip(2, 2, "n/a"): "record does not fit its columns",
+    trip("x3", 3, 30): "record does not fit its columns",
+    SHORT: "record does not fit its columns",
+    f"{trip(6, 6, 60)},more": "record does not fit its columns",
+    trip("x7", 0, 70): "pickup not a timestamp",
+}
+
+
+def test_records_that_do_not_fit_are_kept(spark, config, tmp_path):
+    drop(tmp_path / "bad", "1.csv", DAMAGED)
+    raw = read_delimited(spark, str(tmp_path / "bad"), rescue=True)
+    got = {r.vendorid: (r.total_amount, r[RESCUED]) for r in raw.where("vendorid is not null").collect()}
+    assert got == {
+        1: (10.0, None),
+        2: (None, trip(2, 2, "n/a")),
+        5: (None, SHORT),
+        6: (60.0, f"{trip(6, 6, 60)},more"),
+        8: (80.0, None),
+    }
+    assert sorted(r[0] for r in raw.where("vendorid is null").select(RESCUED).collect()) == sorted([trip("x3", 3, 30), trip("x7", 0, 70)])
+    # the same if fewer columns are asked for
+    assert len(raw.select(RESCUED, "payment_type").where(f"{RESCUED} is not null").collect()) == 5
+    assert {r[RESCUED]: r.reject_reason for r in rejected_trips(raw).collect()} == REASONS
+
+
+def test_runs_send_them_to_quarantine(spark, config, tmp_path):
+    drop(tmp_path / "drop", "1.csv", DAMAGED)
+    config = replace(config, rescue=True)
+    steps = run_all(spark, config)
+    assert [(s.step, s.rows) for s in steps] == [("bronze", 7), ("silver", 2), ("quarantine", 5), ("gold", 2)]
+    assert spark.table(config.bronze.qualified_name).where(F.col(RESCUED).isNotNull()).count() == 5
+    assert RESCUED not in spark.table(config.silver.qualified_name).columns
+    got = read_layer(spark, config.quarantine.path, ("year", "month"))
+    assert {r[RESCUED]: r.reject_reason for r in got.collect()} == REASONS
+
+
+def test_incremental_runs_rescue_too(spark, config, tmp_path):
+    drop(tmp_path / "drop", "1.csv", DAMAGED)
+    config = replace(config, rescue=True)
+    ingest_new_files(spark, config, str(tmp_path / "a"))
+    assert upsert_new_rows(spark, config, str(tmp_path / "b")) == [StepCount("silver", 2)]
+    assert quarantine_new_rows(spark, config, str(tmp_path / "c")) == [StepCount("quarantine", 5)]
+
+
+def test_rescue_needs_declared_types_and_a_free_name(spark, tmp_path):
+    with pytest.raises(ValueError, match="nothing to rescue"):
+        read_delimited(spark, str(tmp_path), infer_schema=True, rescue=True)
+    with pytest.raises(ValueError, match="of their own"):
+        read_delimited(spark, str(tmp_path), T.StructType([T.StructField(RESCUED, T.StringType())]), rescue=True)
+
+
+def test_without_rescue_nothing_is_rejected_for_its_record(spark, config, tmp_path):
+    drop(tmp_path / "bad", "1.csv", DAMAGED)
+    raw = with_lineage(read_delimited(spark, str(tmp_path / "bad")))
+    assert clean_trips(raw).count() == 6
+
+
+def test_ingestion_timestamp_is_the_time_of_the_file(spark, config, tmp_path):
+    drop(tmp_path / "timed", "a.csv", [trip(1, 1, 1)], 1_600_000_000)
+    drop(tmp_path / "timed", "b.csv", [trip(2, 1, 1)], 1_650_000_061)
+    rows = with_lineage(read_delimited(spark, str(tmp_path / "timed"))).select("vendorid", "ingestion_timestamp")
+    assert rows_of(rows) == [(1, "2020-09-13 12:26:40"), (2, "2022-04-15 05:21:01")]
+
+
+def test_batches_are_a_partition_column(config):
+    assert batched(config.bronze).partition_columns == ("batch", "year", "month")
