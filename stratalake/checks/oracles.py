@@ -213,6 +213,14 @@ ORACLES: dict[str, str] = {
         f'SELECT {_RAW}, source_file, "year", "month" FROM ({_DATED_RAW}) '
         f'UNION ALL SELECT {_RAW}, source_file, "year", "month" FROM ({_DATED_RAW})'
     ),
+    "append_new_column": _select(
+        f'SELECT {_RAW}, source_file, l_linenumber::bigint AS l_linenumber, "year", "month", '
+        "CASE WHEN source_file = 'O' THEN upper(payment_type) END AS fare_class FROM (" + _DATED_RAW.replace("t.source_file", "t.source_file, t.l_linenumber") + ")"
+    ),
+    "upsert_new_column": _select(
+        f"SELECT * REPLACE (l_linenumber::bigint AS l_linenumber, CASE WHEN source_file = 'F' THEN l_partkey END AS l_partkey), "
+        f"CASE WHEN source_file = 'O' THEN true END AS checked FROM (SELECT {_SILVER}, source_file FROM merged)"
+    ),
     "register_external_table": _select(f"SELECT {_SILVER}, source_file FROM per_file"),
     "catalog_schema": _select(_catalog()),
     "row_count_metric": _select(

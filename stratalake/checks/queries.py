@@ -372,6 +372,28 @@ def partitioned_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_layer(spark, layer.path, PARTITION_COLUMNS).select(*RAW_COLUMNS, "source_file", "year", "month")
 
 
+def append_new_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A registered table whose second lot has one more column and a wider one."""
+    layer = _config(spark, "new-column").bronze
+    rows = O.with_pickup_date(trips_raw(spark, sf_dir)).select(*RAW_COLUMNS, "source_file", "l_linenumber", "year", "month")
+    later = rows.withColumns({"l_linenumber": F.col("l_linenumber").cast("long"), "fare_class": F.upper("payment_type")})
+    for lot, part in (("F", rows), ("O", later)):
+        some = part.filter(F.col("source_file") == lot)
+        append_or_create(spark, some, layer, evolve=True)
+        register_table(spark, layer, some.schema)
+    return spark.table(layer.qualified_name)
+
+
+def upsert_new_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Corrections with one more column, and without one that the table has, merged into it."""
+    target, source = _target_and_source(spark, sf_dir)
+    layer = Layer(scratch_dir(spark, "upsert-column"), keys=MERGE_KEYS)
+    upsert_table(spark, target, layer, NULLABLE_MERGE_KEYS)
+    source = source.withColumns({"l_linenumber": F.col("l_linenumber").cast("long"), "checked": F.lit(True)}).drop("l_partkey")
+    upsert_table(spark, source, layer, NULLABLE_MERGE_KEYS, evolve=True)
+    return read_layer(spark, layer.path, PARTITION_COLUMNS).select(*_silver_columns(), "source_file", "checked")
+
+
 def _registered_silver(spark: SparkSession, sf_dir: str, name: str) -> Layer:
     silver = _config(spark, name).silver
     rows = _conformed(spark, sf_dir)
@@ -545,6 +567,8 @@ QUERIES: dict[str, Query] = {
         preview_limit,
         partitioned_overwrite,
         partitioned_append,
+        append_new_column,
+        upsert_new_column,
         register_external_table,
         catalog_schema,
         row_count_metric,

@@ -20,12 +20,16 @@ from stratalake.operators.merge import (
     updated_rows,
 )
 from stratalake.operators.metrics import StepCount, measure_while, step_report
+from stratalake.operators.schema import Reconciled, SchemaConflictError, aligned, reconcile
 from stratalake.operators.summary import monthly_summary, preview
 
 __all__ = [
     "Changes",
     "DuplicateKeyError",
+    "Reconciled",
+    "SchemaConflictError",
     "StepCount",
+    "aligned",
     "any_per_key",
     "change_rows",
     "clean_trips",
@@ -39,6 +43,7 @@ __all__ = [
     "merge_frames",
     "monthly_summary",
     "preview",
+    "reconcile",
     "rejected_trips",
     "replaced_rows",
     "require_unique",

@@ -8,7 +8,9 @@ from pyspark.sql import Row, SparkSession
 from pyspark.sql import types as T
 
 from stratalake.config import Layer
-from stratalake.sources.storage import partition_folder, qualified
+from stratalake.operators.schema import Reconciled
+from stratalake.sources.storage import partition_folder, qualified, write_lines
+from stratalake.sources.tables import schema_note
 
 
 def columns_of(schema: T.StructType, partition_columns: Sequence[str] = ()) -> list[tuple[str, str, bool]]:
@@ -83,6 +85,29 @@ def create_table(spark: SparkSession, layer: Layer, schema: T.StructType) -> boo
     return known is None
 
 
+def note_columns(spark: SparkSession, layer: Layer, columns: Reconciled) -> None:
+    """Let a table have these columns from now on: its readers by path, and the catalog if it knows the table.
+
+    Added columns are added to the catalog table. Spark cannot change the type of a catalog column, so for a wider one the entry
+    is dropped and made again over the same files; a reader may miss it in between. No file is rewritten: files of the
+    former columns are read with the new ones.
+    """
+    write_lines(spark, schema_note(layer.path), [columns.schema.json()])
+    spark.catalog.refreshByPath(layer.path)
+    if layer.qualified_name is None or registered_location(spark, layer) is None:
+        return
+    known = {f.name: f.dataType for f in spark.table(layer.qualified_name).schema.fields}
+    fields = columns.schema.fields
+    if any(f.name in known and known[f.name] != f.dataType for f in fields):
+        spark.sql(f"DROP TABLE {layer.qualified_name}")
+        register_table(spark, layer, columns.schema)
+        return
+    new = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields if f.name not in known)
+    if new:
+        spark.sql(f"ALTER TABLE {layer.qualified_name} ADD COLUMNS ({new})")
+        spark.catalog.refreshTable(layer.qualified_name)
+
+
 def register_table(
     spark: SparkSession, layer: Layer, schema: T.StructType, partitions: Sequence[Row] | None = None
 ) -> bool:

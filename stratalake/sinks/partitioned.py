@@ -10,6 +10,8 @@ from pyspark.sql import types as T
 
 from stratalake.config import Layer
 from stratalake.operators.metrics import measure_while
+from stratalake.operators.schema import aligned, reconcile
+from stratalake.sinks.catalog import note_columns
 from stratalake.sources.storage import has_stream_log, table_exists
 from stratalake.sources.tables import read_layer
 
@@ -59,12 +61,29 @@ def _require_same_columns(table: DataFrame, rows: DataFrame) -> None:
         raise ValueError(f"rows to append differ from the table in columns {differing}")
 
 
-def append_or_create(spark: SparkSession, rows: DataFrame, layer: Layer, rebalance: bool = True) -> tuple[str, int]:
-    """Create the table on the first load, append to it later. Returns the mode and the row count."""
+def fit_into(spark: SparkSession, rows: DataFrame, layer: Layer) -> DataFrame:
+    """``rows`` with the columns of the stored table, which first gets those that it lacks, and wider types where they need them."""
+    stored = read_layer(spark, layer.path, layer.partition_columns).schema
+    columns = reconcile(stored, rows.schema, layer.partition_columns)
+    if columns.changed:
+        note_columns(spark, layer, columns)
+    return aligned(rows, columns.schema)
+
+
+def append_or_create(
+    spark: SparkSession, rows: DataFrame, layer: Layer, rebalance: bool = True, evolve: bool = False
+) -> tuple[str, int]:
+    """Create the table on the first load, append to it later. Returns the mode and the row count.
+
+    Rows with other columns or types than the table are refused. With ``evolve`` the table gets new columns, NULL in the rows it
+    has, and wider types, and rows are given the columns they lack as NULL; only types that do not go together are refused.
+    """
     if has_stream_log(spark, layer.path):
         raise ValueError(f"{layer.path} is filled by a streaming query; rows appended here would stay invisible")
     mode = "append" if table_exists(spark, layer.path) else "overwrite"
-    if mode == "append":
+    if mode == "append" and evolve:
+        rows = fit_into(spark, rows, layer)
+    elif mode == "append":
         _require_same_columns(read_layer(spark, layer.path, layer.partition_columns), rows)
     written = write_partitioned(rows, layer.path, mode, layer.partition_columns, rebalance=rebalance)
     return mode, written["rows"]

@@ -25,7 +25,7 @@ from stratalake.operators.dedup import as_sortable, first_per_key, require_uniqu
 from stratalake.operators.files import matching_files
 from stratalake.operators.merge import check_columns, merge_frames
 from stratalake.sinks import pending
-from stratalake.sinks.partitioned import write_partitioned
+from stratalake.sinks.partitioned import fit_into, write_partitioned
 from stratalake.sinks.pending import finish_pending
 from stratalake.sinks.pending import pending_mark as _pending_mark
 from stratalake.sinks.pending import pending_rows as _pending_rows
@@ -90,6 +90,7 @@ def upsert_table(
     nullable_keys: Sequence[str] = (),
     check_source: bool = True,
     changes: Changes | None = None,
+    evolve: bool = False,
 ) -> UpsertResult:
     """Merge ``source`` into the table of ``layer`` on the layer's keys, or create the table.
 
@@ -97,7 +98,8 @@ def upsert_table(
     optimizer its true size, and keeps it from being computed for each of its uses.
     ``check_source`` costs an aggregation over the keys; switch it off for a source that is
     unique by construction. With ``changes`` the rows before and after go to a folder of their own; they appear there
-    in the same step as in the table, and not at all if the run dies before it.
+    in the same step as in the table, and not at all if the run dies before it. The source needs all columns of the table, in
+    their types, and others are ignored; ``evolve`` fits the two together as for ``append_or_create``.
     """
     if not layer.keys:
         raise ValueError(f"{layer.path} has no merge keys")
@@ -117,6 +119,8 @@ def upsert_table(
         source_rows = sum(p["row_count"] for p in touched)
         if not touched:
             return UpsertResult(0, None if first_load else [])
+        if evolve and not first_load:
+            staged = fit_into(spark, staged, layer)
         if first_load:
             target, files = staged.limit(0), []
         else:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections import defaultdict
 from collections.abc import Sequence
 from functools import reduce
@@ -10,9 +11,27 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stratalake.sources.storage import read_lines
+
+
+def schema_note(path: str) -> str:
+    return f"{path}/_schema/columns"
+
+
+def noted_schema(spark: SparkSession, path: str) -> T.StructType | None:
+    """The columns of a table that got some, or wider ones, after its first load."""
+    lines = read_lines(spark, schema_note(path))
+    return T.StructType.fromJson(json.loads(lines[0])) if lines else None
+
 
 def read_layer(spark: SparkSession, path: str, partition_columns: Sequence[str] = ()) -> DataFrame:
-    """Scan a stored table. Partition columns are integers, also if all their values are NULL."""
+    """Scan a stored table. Partition columns are integers, also if all their values are NULL.
+
+    Files from before a column was added or widened are read with the table's columns of today.
+    """
+    noted = noted_schema(spark, path)
+    if noted is not None:
+        return spark.read.schema(noted).parquet(path)
     table = spark.read.parquet(path)
     wrong = [f.name for f in table.schema.fields if f.name in partition_columns and f.dataType != T.IntegerType()]
     if not wrong:
