@@ -247,6 +247,10 @@ ORACLES: dict[str, str] = {
         f"UNION ALL SELECT 'gold', (SELECT count(*) FROM ({_summary('target')})) + (SELECT count(*) FROM ({_summary('merged')}) "
         'WHERE ("year", "month") IN (SELECT ("year", "month") FROM source))'
     ),
+    "incremental_dedup": _select(
+        "SELECT DISTINCT vendorid, pickup_ts, dropoff_ts, (SELECT count(*) FROM per_trip) AS rows_merged, "
+        "0::bigint AS rows_late FROM valid"
+    ),
     "incremental_upsert": _select(f"SELECT {_SILVER}, source_file AS source_label FROM merged"),
     "incremental_refresh": _select(_summary("merged")),
 }

@@ -42,6 +42,7 @@ from stratalake.streaming import (
     ingest_to_table,
     quarantine_new_rows,
     refresh_from_new_rows,
+    upsert_distinct_rows,
     upsert_new_rows,
 )
 
@@ -522,6 +523,26 @@ def _two_lots(spark: SparkSession, sf_dir: str, name: str, step: Callable) -> Pi
     return config
 
 
+def incremental_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three lots, the third a second delivery of the first; trips seen before are not merged again, over restarts."""
+    config = _config(spark, "incremental-dedup")
+    trips, merged = trips_raw(spark, sf_dir), []
+    for labels in (("F",), ("O",), ("F",)):
+        write_dropzone(trips, _drop(config), labels)
+        ingest_new_files(spark, config, f"{_drop(config)}-ingested")
+        late = Layer(f"{_drop(config)}-late")
+        merged += upsert_distinct_rows(spark, config, f"{_drop(config)}-merged", "3650 days", late)
+    stored = read_layer(spark, config.silver.path, PARTITION_COLUMNS)
+    total = {step: sum(m.rows for m in merged if m.step == step) for step in ("silver", "late")}
+    return stored.select(
+        "vendorid",
+        _text("pickup_ts"),
+        _text("dropoff_ts"),
+        F.lit(total["silver"]).cast("long").alias("rows_merged"),
+        F.lit(total["late"]).cast("long").alias("rows_late"),
+    )
+
+
 def incremental_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     config = _two_lots(spark, sf_dir, "incremental-upsert", upsert_new_rows)
     return read_layer(spark, config.silver.path, PARTITION_COLUMNS).select(
@@ -579,6 +600,7 @@ QUERIES: dict[str, Query] = {
         incremental_ingest,
         incremental_bronze_table,
         incremental_metrics,
+        incremental_dedup,
         incremental_upsert,
         incremental_refresh,
     )

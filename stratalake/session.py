@@ -17,6 +17,8 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # INT96, the default, has no column statistics, so key ranges could not be skipped.
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
+    # Keys that streams remember are kept on disk; the default holds all of them in memory.
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 
