@@ -179,6 +179,7 @@ ORACLES: dict[str, str] = {
     "silver_clean": _select(f"SELECT {_SILVER}, source_file FROM per_trip"),
     "silver_upsert": _select(f"SELECT {_SILVER}, source_file FROM merged"),
     "upsert_touched_files": _select(_corrected("per_trip")),
+    "bucketed_upsert": _select(f"SELECT {_SILVER}, source_file FROM merged"),
     "upsert_by_location": _select(_corrected("merged")),
     "merge_frames": _select(f"SELECT {_SILVER}, source_file FROM merged"),
     "merge_matched_update": _select(

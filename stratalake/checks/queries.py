@@ -283,6 +283,14 @@ def upsert_by_location(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(silver.qualified_name).select(*_silver_columns(), "source_file")
 
 
+def bucketed_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two lots merged bucket by bucket; the table is not shuffled."""
+    silver = _config(spark, "bucketed").silver
+    for source in _target_and_source(spark, sf_dir):
+        sinks.upsert_by_location(spark, source, silver, NULLABLE_MERGE_KEYS, buckets=4)
+    return spark.table(silver.qualified_name).select(*_silver_columns(), "source_file")
+
+
 def merge_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     target, source = _target_and_source(spark, sf_dir)
     return O.merge_frames(target, source, MERGE_KEYS).select(*_silver_columns(), "source_file")
@@ -577,6 +585,7 @@ QUERIES: dict[str, Query] = {
         silver_upsert,
         upsert_touched_files,
         upsert_by_location,
+        bucketed_upsert,
         merge_frames,
         merge_matched_update,
         merge_not_matched_insert,

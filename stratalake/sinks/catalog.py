@@ -63,9 +63,13 @@ def place_partitions(spark: SparkSession, layer: Layer, partitions: Sequence[Row
     spark.catalog.refreshTable(layer.qualified_name)
 
 
-def create_table(spark: SparkSession, layer: Layer, schema: T.StructType) -> bool:
+def create_table(
+    spark: SparkSession, layer: Layer, schema: T.StructType, buckets: tuple[int, Sequence[str]] | None = None
+) -> bool:
     """Create the layer's catalog table over its path, without partitions, if it is missing. Returns whether it was.
 
+    ``buckets`` are the number of buckets of each partition and the columns that tell and order them.
+
     A table of that name that points elsewhere is an error rather than silently kept.
     """
     if layer.qualified_name is None:
@@ -78,9 +82,13 @@ def create_table(spark: SparkSession, layer: Layer, schema: T.StructType) -> boo
         spark.sql(f"CREATE DATABASE IF NOT EXISTS `{layer.database}`{place}")
         columns = ", ".join(f"`{name}` {kind}" for name, kind, _ in columns_of(schema, layer.partition_columns))
         parts = ", ".join(f"`{c}`" for c in layer.partition_columns)
+        clustered = ""
+        if buckets:
+            by = ", ".join(f"`{c}`" for c in buckets[1])
+            clustered = f"CLUSTERED BY ({by}) SORTED BY ({by}) INTO {buckets[0]} BUCKETS "
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {layer.qualified_name} ({columns}) USING parquet "
-            f"PARTITIONED BY ({parts}) LOCATION {_text(layer.path)}"
+            f"PARTITIONED BY ({parts}) {clustered}LOCATION {_text(layer.path)}"
         )
     return known is None
 

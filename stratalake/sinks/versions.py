@@ -12,7 +12,8 @@ readers that listed their files are done.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Row, SparkSession
 
@@ -44,20 +45,55 @@ def finish_moving(spark: SparkSession, layer: Layer) -> None:
     remove(spark, _note(layer))
 
 
+def bucket_columns(layer: Layer, nullable_keys: Sequence[str]) -> list[str]:
+    """The keys that can tell the bucket of a row. A key that matches as NULL compares by more than its value, so it cannot."""
+    return [k for k in layer.keys if k not in nullable_keys]
+
+
+def _write(spark: SparkSession, rows: DataFrame, layer: Layer, folder: str, buckets: list[str], count: int) -> None:
+    if not count:
+        write_partitioned(rows, folder, "overwrite", layer.partition_columns)
+        return
+    # Spark names the files of buckets only for a table; this one goes again, and its files stay
+    name = f"`{layer.database}`.`{layer.table}_{folder.rpartition('/run-')[2]}`"
+    writer = rows.write.format("parquet").option("path", folder).partitionBy(*layer.partition_columns)
+    writer.bucketBy(count, *buckets).sortBy(*buckets).saveAsTable(name)
+    spark.sql(f"DROP TABLE {name}")
+
+
+@contextmanager
+def _buckets_by_some_keys(spark: SparkSession) -> Iterator[None]:
+    """Spark otherwise shuffles a side that is laid out by some of the keys of a join instead of all."""
+    key = "spark.sql.requireAllClusterKeysForCoPartition"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def upsert_by_location(
     spark: SparkSession,
     source: DataFrame,
     layer: Layer,
     nullable_keys: Sequence[str] = (),
     check_source: bool = True,
+    buckets: int = 0,
 ) -> UpsertResult:
     """Merge ``source`` into the catalog table of ``layer`` on the layer's keys, or create the table.
 
     The layer's keys must determine its partition columns, whose values cannot be NULL. ``check_source`` as for ``upsert_table``.
+
+    With ``buckets`` the table is created with so many buckets of the keys in each partition. Each merge then joins bucket with bucket:
+    the source is shuffled to the table's buckets, and the table, however large, is not shuffled. Later merges need the same number. At
+    least one key must not be in ``nullable_keys``.
     """
     if not layer.keys:
         raise ValueError(f"{layer.path} has no merge keys")
-    parts = layer.partition_columns
+    parts, by = layer.partition_columns, bucket_columns(layer, nullable_keys)
+    if buckets and not by:
+        raise ValueError("a bucket needs a key that is never NULL")
     known = registered_location(spark, layer) is not None
     if known:
         finish_moving(spark, layer)
@@ -70,7 +106,7 @@ def upsert_by_location(
         touched = partition_counts(staged, parts)
         if any(None in tuple(p) for p in touched):
             raise ValueError(f"rows without a value in one of {list(parts)}")
-        create_table(spark, layer, source.schema)
+        create_table(spark, layer, source.schema, (buckets, by) if buckets else None)
         if not touched:
             return UpsertResult(0, [] if known else None)
         merged = staged
@@ -78,7 +114,8 @@ def upsert_by_location(
             target = spark.table(layer.qualified_name).filter(in_partitions(touched, parts))
             merged = merge_frames(target, staged, layer.keys, nullable_keys)
         folder = f"{layer.path}/run-{uuid.uuid4().hex}"
-        write_partitioned(merged, folder, "overwrite", parts)
+        with _buckets_by_some_keys(spark):
+            _write(spark, merged, layer, folder, by, buckets)
         write_lines(spark, _note(layer), [folder])
         finish_moving(spark, layer)
         rows = sum(p["row_count"] for p in touched)
