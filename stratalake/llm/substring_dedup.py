@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 
 from .words import NON_SPACE, U64, Words, batches_of_words, window_hashes
 
+#: Bytes of text whose probes share a bucket; a task holds one bucket at a time.
+BUCKET_BYTES = 8 << 20
 _ALIGNED, _SEVERAL, _POSITION = np.uint32(1 << 31), np.uint32(1 << 30), np.uint32((1 << 30) - 1)
 _PACKED = "bucket int, doc_id long, row_key int, span long, packed binary"
 _SPANS = pa.schema(
@@ -238,8 +240,7 @@ def _compare_windows(window: int, buckets: int) -> Callable[[Rows], Rows]:
                 begin = np.flatnonzero(np.cumsum(step[:-1]) > 0)
                 if not len(begin):
                     continue
-                hashes = words.hashes()
-                h, g = window_hashes(hashes, begin, window), window_hashes(hashes, begin, window, 1)
+                h, g = (window_hashes(words.hashes(i), begin, window, i) for i in (0, 1))
                 text = words.text_of[begin]
                 ids, keys = doc[at:to], key[at:to]
                 order, heads, group = _groups(h, g)
@@ -330,14 +331,19 @@ def remove_repeats(
 
     Words are those of ``[^\\x20\\x09-\\x0D]+``. Each word goes that a window of ``window`` words covers whose words also
     follow each other in a document with a smaller doc_id. Windows are judged on the input. Windows count as equal by
-    96 bits of hash. ``buckets`` is the number of shuffle partitions unless given.
+    96 bits of two hashes that have nothing in common. ``buckets`` follows from the size of the texts unless given.
 
     A null or wordless text has no words and stays empty. Rows that repeat a doc_id are cut each by its own text and
     never because of each other. A row with a null doc_id is returned whole and is no reason to cut another. Other
     columns are ignored. An empty table gives no rows.
     """
     spark = docs.sparkSession
-    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if buckets is None:
+        size = docs.agg(F.coalesce(F.sum(F.octet_length(F.col(text_col).cast("string"))), F.lit(0))).first()[0]
+        buckets = max(partitions, -(-size // BUCKET_BYTES))
+    # a partition takes its buckets one after the other
+    partitions = min(buckets, max(partitions, -(-buckets // 4)))
     docs = docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
         F.hash(F.col(text_col).cast("string")).alias("row_key"),
@@ -345,7 +351,7 @@ def remove_repeats(
     )
     packed = docs.where("doc_id is not null").mapInArrow(_probe(window, buckets), _PACKED)
     near = (
-        packed.repartition(buckets, "bucket")
+        packed.repartition(partitions, "bucket")
         .sortWithinPartitions("bucket")
         .mapInArrow(_match_blocks(window), _PACKED)
     )
@@ -355,7 +361,7 @@ def remove_repeats(
         .mapInArrow(_compare_windows(window, buckets), _PACKED)
     )
     gone = (
-        compared.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(_match_windows, _PACKED)
+        compared.repartition(partitions, "bucket").sortWithinPartitions("bucket").mapInArrow(_match_windows, _PACKED)
     )
     return (
         docs.join(_gathered(gone), ["doc_id", "row_key"], "left")

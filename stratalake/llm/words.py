@@ -1,11 +1,13 @@
 """Words and their hashes, whole Arrow batches at a time, on the UTF-8 bytes of the texts.
 
-All arithmetic is modulo 2**64. The hash of a run of symbols is the difference of two prefix sums of
-symbol * base**position, divided by base**start; an odd base has an inverse. A final mix spreads it.
+All arithmetic is modulo 2**64. A word of up to 64 bytes is hashed as the mixed sum of byte * base**position; longer ones, for which
+such sums can be equal whatever the base, by BLAKE2. The hash of a run of words is built from those of its halves, with a mix
+at each step.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -42,30 +44,19 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-class Powers:
-    """Powers of an odd base and of its inverse, kept and lengthened on demand."""
+#: Longest word that is hashed by a sum, and how many bytes are taken at a time.
+SHORT, PIECE_BYTES = 64, 4 << 20
 
-    def __init__(self, base: int):
-        self.base, self.inverse = base, pow(base, -1, 1 << 64)
-        self.up = self.down = np.ones(1, U64)
 
-    def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.up) < n:
-            size = max(n, 1 << 16)
-            self.up = self._powers(self.base, size)
-            self.down = self._powers(self.inverse, size)
-        return self.up[:n], self.down[:n]
+def _powers(base: int) -> np.ndarray:
+    return np.cumprod(np.array([1] + [base] * (SHORT - 1), U64), dtype=U64)
 
-    @staticmethod
-    def _powers(base: int, n: int) -> np.ndarray:
-        out = np.full(n, U64(base & (2**64 - 1)))
-        out[0] = 1
-        return np.cumprod(out, dtype=U64)
 
-
-BYTE_POWERS = Powers(0x9E3779B97F4A7C15)
-WORD_POWERS = (Powers(0xC2B2AE3D27D4EB4F), Powers(0x9FB21C651E98DF25))
-BYTE_VALUES = mix(np.arange(1, 257, dtype=U64) * U64(0x632BE59BD9B4E019))
+#: Two independent ways to hash a word.
+BYTE_POWERS = (_powers(0x9E3779B97F4A7C15), _powers(0xD6E8FEB86659FD93))
+BYTE_VALUES = (mix(np.arange(1, 257, dtype=U64) * U64(0x632BE59BD9B4E019)), mix(np.arange(257, 513, dtype=U64)))
+#: And two to hash two runs as one.
+LEFT = (U64(0xC2B2AE3D27D4EB4F), U64(0x9FB21C651E98DF25))
 
 
 @dataclass
@@ -86,12 +77,27 @@ class Words:
         """For each word the number of its text."""
         return np.repeat(np.arange(len(self.first) - 1), self.counts)
 
-    def hashes(self) -> np.ndarray:
-        up, _ = BYTE_POWERS.upto(len(self.data) + 1)
-        sums = np.zeros(len(self.data) + 1, U64)
-        np.cumsum(BYTE_VALUES[self.data] * up[:-1], out=sums[1:])
-        _, down = BYTE_POWERS.upto(len(self.data) + 1)
-        return mix((sums[self.ends] - sums[self.starts]) * down[self.starts])
+    def hashes(self, which: int = 0) -> np.ndarray:
+        """A hash per word; ``which`` picks one of two independent ones."""
+        out = np.empty(len(self.starts), U64)
+        at = 0
+        while at < len(out):
+            to = max(at + 1, int(np.searchsorted(self.ends, self.starts[at] + PIECE_BYTES, "right")))
+            out[at:to] = self._piece(at, to, which)
+            at = to
+        for i in np.flatnonzero(self.ends - self.starts > SHORT).tolist():
+            word = self.data[self.starts[i] : self.ends[i]]
+            out[i] = int.from_bytes(hashlib.blake2b(word, digest_size=8, salt=bytes([which])).digest(), "little")
+        return out
+
+    def _piece(self, at: int, to: int, which: int) -> np.ndarray:
+        """The sums of words ``at`` to ``to``, of their first bytes if they are long."""
+        starts = self.starts[at:to]
+        sizes = np.minimum(self.ends[at:to] - starts, SHORT)
+        ends = np.cumsum(sizes)
+        place = np.arange(ends[-1]) - np.repeat(ends - sizes, sizes)
+        data = self.data[np.repeat(starts, sizes) + place]
+        return mix(np.add.reduceat(BYTE_VALUES[which][data] * BYTE_POWERS[which][place], ends - sizes))
 
     def window_starts(self, size: int) -> np.ndarray:
         """Numbers of the words at which ``size`` words of one text begin."""
@@ -100,11 +106,18 @@ class Words:
 
 
 def window_hashes(hashes: np.ndarray, begin: np.ndarray, size: int, which: int = 0) -> np.ndarray:
-    """The hash of the ``size`` words from each of ``begin`` on; ``which`` picks one of two independent ones."""
-    up, down = WORD_POWERS[which].upto(len(hashes) + 1)
-    sums = np.zeros(len(hashes) + 1, U64)
-    np.cumsum(hashes * up[:-1], out=sums[1:])
-    return mix((sums[begin + size] - sums[begin]) * down[begin] + U64(size))
+    """The hash of the ``size`` words from each of ``begin`` on; ``which`` picks one of two independent ones.
+
+    Runs of 1, 2, 4 and so on words are hashed from every word on, and a window is put together from those it needs.
+    """
+    run, at, out = hashes, begin, None
+    for bit in range(size.bit_length()):
+        if size >> bit & 1:
+            out = run[at] if out is None else mix(out * LEFT[which] + run[at])
+            at = at + (1 << bit)
+        if size >> (bit + 1):
+            run = mix(run[: -(1 << bit)] * LEFT[which] + run[1 << bit :])
+    return mix(out + U64(size))
 
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

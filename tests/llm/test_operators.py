@@ -536,7 +536,7 @@ SMALL = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_query_equals_its_sql(spark, name):
     db = duckdb.connect()
-    for t in ("documents", "embeddings", "pages", "benchmark"):
+    for t in ("documents", "embeddings", "pages", "benchmark", "conversations"):
         db.execute(f"create view {t} as select * from '{SMALL}/{t}.parquet'")
     found = queries.QUERIES[name](spark, SMALL).toPandas()
     expected = db.execute(queries.ORACLES[name]).df()

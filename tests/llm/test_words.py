@@ -1,0 +1,92 @@
+"""Words that differ never count as equal because of how they are hashed; long texts are taken in pieces."""
+
+import random
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from stratalake.llm import near_dedup, substring_dedup, words
+from stratalake.llm.words import NON_SPACE, batches_of_words, window_hashes
+
+
+def alternating(first, second, n=1024):
+    """Sums of value * base**position over this word and its complement are equal for every odd base."""
+    return "".join((first, second)[i.bit_count() % 2] for i in range(n))
+
+
+ONE, OTHER = alternating("a", "b"), alternating("b", "a")
+
+
+def hashes_of(texts, which=0):
+    return [h for _, _, w in batches_of_words(pa.array(texts), NON_SPACE) for h in w.hashes(which).tolist()]
+
+
+@pytest.mark.parametrize("which", [0, 1])
+def test_long_words_have_their_own_hashes(which):
+    one, other, again = hashes_of([ONE, OTHER, f"x {ONE}"], which)[:2] + hashes_of([f"x {ONE}"], which)[1:]
+    assert one != other and one == again
+
+
+@pytest.mark.parametrize("which", [0, 1])
+def test_equal_words_and_no_others_have_equal_hashes(which):
+    rng = random.Random(which)
+    vocabulary = {"".join(rng.choices("abé漢", k=rng.choice([1, 2, 3, 30, 63, 64, 65, 200]))) for _ in range(3000)}
+    listed = list(vocabulary)
+    text = " ".join(listed + listed[::-1])
+    found = hashes_of([text], which)
+    assert found[: len(listed)] == found[len(listed) :][::-1] and len(set(found)) == len(vocabulary)
+    assert hashes_of(["same word"], 0) != hashes_of(["same word"], 1)
+
+
+def test_pieces_do_not_change_a_hash(monkeypatch):
+    text = " ".join(f"word{i}" for i in range(5000))
+    whole = hashes_of([text])
+    monkeypatch.setattr(words, "PIECE_BYTES", 50)
+    assert hashes_of([text]) == whole
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 25, 50, 1024, 1500])
+def test_window_hashes_tell_windows_apart(size):
+    a, b = (np.array([x], words.U64) for x in (3, 10**18 + 9))
+    mixed = lambda x, y: np.concatenate([(x, y)[i.bit_count() % 2] for i in range(size)])
+    row = np.concatenate([mixed(a, b), mixed(b, a), mixed(a, b)])
+    for which in (0, 1):
+        one, other, again = window_hashes(row, np.array([0, size, 2 * size]), size, which)
+        assert one == again and one != other
+
+
+def frame(spark, texts):
+    return spark.createDataFrame(list(enumerate(texts, 1)), "doc_id bigint, text string")
+
+
+def test_windows_with_different_long_words_stay(spark):
+    base = [f"w{i}" for i in range(60)]
+    texts = []
+    for word in (ONE, OTHER):
+        mine = list(base)
+        mine[10] = mine[40] = word
+        texts.append(" ".join(mine))
+    got = substring_dedup.remove_repeats(frame(spark, [*texts, texts[0]])).collect()
+    assert {r.doc_id: r.n_removed for r in got} == {1: 0, 2: 0, 3: 60}
+
+
+def test_shingles_with_different_long_words_are_no_link(spark):
+    got = near_dedup.near_duplicates(frame(spark, [f"{ONE} x y z", f"{OTHER} x y z", f"{ONE} x y z"]), shingle=4).collect()
+    assert {r.doc_id: r.component_id for r in got} == {1: 1, 2: 2, 3: 1}
+
+
+@pytest.mark.parametrize("buckets", [None, 1, 3, 40])
+def test_buckets_do_not_change_what_goes(spark, buckets):
+    rng = random.Random(7)
+    prose = lambda n: " ".join(f"w{rng.randrange(10**12)}" for _ in range(n))
+    passage = prose(60)
+    docs = frame(spark, [f"{prose(20)} {passage} {prose(20)}" for _ in range(12)])
+    got = {r.doc_id: r.n_removed for r in substring_dedup.remove_repeats(docs, buckets=buckets).collect()}
+    assert got == {1: 0} | {i: 60 for i in range(2, 13)}
+
+
+def test_long_text_without_much_memory():
+    text = " ".join(["some words here"] * 400_000)
+    ((_, _, w),) = batches_of_words(pa.array([text]), NON_SPACE)
+    assert len(set(w.hashes().tolist())) == 3
