@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from .words import NON_SPACE, U64, Words, batches_of_words, window_hashes
 
 #: Bytes of text whose probes share a bucket; a task holds one bucket at a time.
-BUCKET_BYTES = 8 << 20
+BUCKET_BYTES = 16 << 20
 _ALIGNED, _SEVERAL, _POSITION = np.uint32(1 << 31), np.uint32(1 << 30), np.uint32((1 << 30) - 1)
 _PACKED = "bucket int, doc_id long, row_key int, span long, packed binary"
 _SPANS = pa.schema(
