@@ -12,8 +12,10 @@ readers that listed their files are done.
 from __future__ import annotations
 
 import uuid
+from collections import Counter
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
+from functools import reduce
 
 from pyspark.sql import DataFrame, Row, SparkSession
 
@@ -26,6 +28,9 @@ from stratalake.sinks.upsert import UpsertResult, _without_counts
 from stratalake.sources.storage import child_folders, data_files, file_of, read_lines, remove, write_lines
 from stratalake.sources.tables import in_partitions, partition_counts
 
+#: Rows of one bucket, of table and source together, that a task joins and sorts, unless a single partition holds more.
+ROWS_PER_TASK = 1 << 20
+
 
 def _note(layer: Layer) -> str:
     return f"{layer.path}/_moving/folders"
@@ -50,15 +55,51 @@ def bucket_columns(layer: Layer, nullable_keys: Sequence[str]) -> list[str]:
     return [k for k in layer.keys if k not in nullable_keys]
 
 
-def _write(spark: SparkSession, rows: DataFrame, layer: Layer, folder: str, buckets: list[str], count: int) -> None:
-    if not count:
-        write_partitioned(rows, folder, "overwrite", layer.partition_columns)
-        return
-    # Spark names the files of buckets only for a table; this one goes again, and its files stay
-    name = f"`{layer.database}`.`{layer.table}_{folder.rpartition('/run-')[2]}`"
+@contextmanager
+def _bucketed(
+    spark: SparkSession, rows: DataFrame, layer: Layer, folder: str, buckets: Sequence[str], count: int
+) -> Iterator[DataFrame]:
+    """Write ``rows`` in buckets and read them as such; their files stay."""
+    # Spark names and uses the files of buckets only for a table
+    name = f"`{layer.database}`.`{layer.table}_{uuid.uuid4().hex}`"
     writer = rows.write.format("parquet").option("path", folder).partitionBy(*layer.partition_columns)
     writer.bucketBy(count, *buckets).sortBy(*buckets).saveAsTable(name)
-    spark.sql(f"DROP TABLE {name}")
+    try:
+        yield spark.table(name)
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+
+
+def _groups(counts: dict[Row, int], most: int) -> list[list[Row]]:
+    """The partitions in order, as many together as hold ``most`` rows; a larger one stays alone."""
+    groups: list[list[Row]] = []
+    held = 0
+    for partition in sorted(counts):
+        if not groups or held + counts[partition] > most:
+            groups.append([])
+            held = 0
+        groups[-1].append(partition)
+        held += counts[partition]
+    return groups
+
+
+def _merged_by_bucket(
+    spark: SparkSession, target: DataFrame, source: DataFrame, layer: Layer, nullable_keys: Sequence[str], count: int
+) -> DataFrame:
+    """The merge of two frames that lie in the same buckets, some partitions at a time, so that no task holds a bucket of all.
+
+    A key lies in one partition, so the merges of groups of partitions add up to that of the whole.
+    """
+    parts = layer.partition_columns
+    counts: Counter[Row] = Counter()
+    for frame in (target, source):
+        for p in partition_counts(frame, parts):
+            counts[_without_counts([p], parts)[0]] += p["row_count"]
+    merges = [
+        merge_frames(target.filter(group), source.filter(group), layer.keys, nullable_keys)
+        for group in (in_partitions(g, parts) for g in _groups(counts, count * ROWS_PER_TASK))
+    ]
+    return reduce(DataFrame.unionByName, merges)
 
 
 @contextmanager
@@ -85,9 +126,9 @@ def upsert_by_location(
 
     The layer's keys must determine its partition columns, whose values cannot be NULL. ``check_source`` as for ``upsert_table``.
 
-    With ``buckets`` the table is created with so many buckets of the keys in each partition. Each merge then joins bucket with bucket:
-    the source is shuffled to the table's buckets, and the table, however large, is not shuffled. Later merges need the same number. At
-    least one key must not be in ``nullable_keys``.
+    With ``buckets`` the table is created with so many buckets of the keys in each partition. Each merge then joins bucket with bucket,
+    some partitions at a time: the source is laid out in the table's buckets, and the table, however large, is not shuffled. Later merges
+    need the same number. At least one key must not be in ``nullable_keys``.
     """
     if not layer.keys:
         raise ValueError(f"{layer.path} has no merge keys")
@@ -109,19 +150,26 @@ def upsert_by_location(
         create_table(spark, layer, source.schema, (buckets, by) if buckets else None)
         if not touched:
             return UpsertResult(0, [] if known else None)
-        merged = staged
-        if known:
-            target = spark.table(layer.qualified_name).filter(in_partitions(touched, parts))
-            merged = merge_frames(target, staged, layer.keys, nullable_keys)
         folder = f"{layer.path}/run-{uuid.uuid4().hex}"
-        with _buckets_by_some_keys(spark):
-            _write(spark, merged, layer, folder, by, buckets)
+        target = spark.table(layer.qualified_name).filter(in_partitions(touched, parts)) if known else None
+        if buckets:
+            laid_out = staged.hint("rebalance", *parts)
+            place = f"{staged_path}-buckets" if known else folder
+            with _buckets_by_some_keys(spark), _bucketed(spark, laid_out, layer, place, by, buckets) as source:
+                if known:
+                    merged = _merged_by_bucket(spark, target, source, layer, nullable_keys, buckets)
+                    with _bucketed(spark, merged, layer, folder, by, buckets):
+                        pass
+        else:
+            merged = merge_frames(target, staged, layer.keys, nullable_keys) if known else staged
+            write_partitioned(merged, folder, "overwrite", parts)
         write_lines(spark, _note(layer), [folder])
         finish_moving(spark, layer)
         rows = sum(p["row_count"] for p in touched)
         return UpsertResult(rows, _without_counts(touched, parts) if known else None)
     finally:
         remove(spark, staged_path)
+        remove(spark, f"{staged_path}-buckets")
 
 
 def remove_unreferenced(spark: SparkSession, layer: Layer) -> list[str]:

@@ -150,6 +150,23 @@ def test_bucketed_table_is_merged_without_shuffling_it(spark, table, plan_of):
     assert scans == 2 and plan.count("Exchange hashpartitioning") == 2
 
 
+def test_buckets_are_merged_some_partitions_at_a_time(spark, table, monkeypatch):
+    monkeypatch.setattr(versions, "ROWS_PER_TASK", 8)
+    merges = []
+    whole = versions.merge_frames
+    monkeypatch.setattr(versions, "merge_frames", lambda t, s, *rest: merges.append((t.count(), s.count())) or whole(t, s, *rest))
+    table = replace(table, keys=("j", "k"))
+    first = [(k, None if k % 5 == 0 else "j", "a", 2020 + k % 4) for k in range(80)]
+    upsert_by_location(spark, spark.createDataFrame(first, ROWS), table, ("j",), buckets=3)
+    source = [(k, None if k % 5 == 0 else "j", "b", 2020 + k % 6) for k in range(80, 100)]
+    source += [(k, j, "b", y) for k, j, _, y in first[60:]]
+    upsert_by_location(spark, spark.createDataFrame(source, ROWS), table, ("j",), buckets=3)
+    want = sorted(first[:60] + source, key=repr)
+    assert rows_of(spark.table(table.qualified_name).select("k", "j", "v", "year")) == want
+    assert len(merges) == 5 and sum(t for t, _ in merges) == 80 and sum(s for _, s in merges) == 40
+    assert not spark.sql(f"SHOW TABLES IN `{table.database}`").where("tableName <> 't'").collect()
+
+
 def test_buckets_need_a_key_that_is_never_null(spark, table):
     with pytest.raises(ValueError, match="never NULL"):
         upsert_by_location(spark, spark.createDataFrame([], ROWS), table, ("k",), buckets=2)
