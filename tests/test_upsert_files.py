@@ -298,3 +298,48 @@ def test_partitions_without_a_value_are_refused(spark, table):
         upsert_by_location(spark, frame(spark, [(1, "a", None)]), table)
     with pytest.raises(ValueError, match="no merge keys"):
         upsert_by_location(spark, frame(spark, []), Layer(table.path, "d", "t"))
+
+
+@pytest.mark.parametrize("hot", [False, True])
+def test_rows_are_shuffled_once_unless_few_keys_hold_them(spark, layer, monkeypatch, plan_of, hot):
+    monkeypatch.setattr(upsert, "SLICE_ROWS", 8)
+    plans = []
+    write = upsert.write_partitioned
+    monkeypatch.setattr(upsert, "write_partitioned", lambda rows, *a, **k: plans.append((plan_of(rows), k)) or write(rows, *a, **k))
+    rows = [(1 if hot and k % 2 else k, f"v{k}", 2020 if hot and k % 2 else 2020 + k % 3) for k in range(300)]
+    upsert_first_per_key(spark, frame(spark, rows), layer, ["v"])
+    later = [(k, f"w{r}", 2020 + k % 3) for k in range(200, 400) for r in (2, 1)] + ([(1, f"w{k}", 2020) for k in range(300)] if hot else [])
+    upsert_first_per_key(spark, frame(spark, later), layer, ["v"])
+    assert [k.get("rebalance", True) for _, k in plans] == [hot] * 2
+    assert hot or [plan.count("Exchange") for plan, _ in plans] == [1, 1]
+    first = {}
+    for k, v, y in sorted(rows):
+        first.setdefault(k, (k, v, y))
+    second = {}
+    for k, v, y in sorted(later):
+        second.setdefault(k, (k, v, y))
+    assert stored(spark, layer) == sorted((first | second).values(), key=repr)
+
+
+@pytest.mark.parametrize("case", ["plain", "null key", "repeated target key"])
+def test_large_source_is_merged_in_one_shuffle(spark, layer, monkeypatch, plan_of, case):
+    monkeypatch.setattr(upsert, "_broadcast_bytes", lambda _: -1)
+    monkeypatch.setattr(upsert, "SLICE_ROWS", 8)
+    target = [(k, "a", 2020 + k % 3) for k in range(100)]
+    target += {"plain": [], "null key": [(None, "n", 2020)], "repeated target key": [(99, "a2", 2020)]}[case]
+    write_partitioned(frame(spark, target), layer.path, "overwrite", PARTS)
+    source = [(k, "b", 2020 + k % 3) for k in range(50, 150)] + ([(None, "m", 2020)] if case == "null key" else [])
+    plans = []
+    write = upsert.write_partitioned
+    monkeypatch.setattr(upsert, "write_partitioned", lambda rows, *a, **k: plans.append(plan_of(rows)) or write(rows, *a, **k))
+    upsert_table(spark, frame(spark, source), layer)
+    want = [r for r in target if r[0] is None or r[0] < 50] + source + ([(99, "b", 2020)] if case == "repeated target key" else [])
+    assert stored(spark, layer) == sorted(want, key=repr)
+    assert ("Join" in plans[-1]) == (case != "plain")
+    assert case != "plain" or plans[-1].count("Exchange") == 1
+
+
+@pytest.mark.parametrize("shape", ["map<string,int>", "struct<a:map<string,int>>"])
+def test_columns_that_cannot_be_ordered_are_merged_by_the_join(spark, shape):
+    assert not upsert.can_order(frame(spark, [], f"k int, m {shape}, year int").schema)
+    assert upsert.can_order(frame(spark, [], "k int, m array<int>, year int").schema)
