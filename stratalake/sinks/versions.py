@@ -24,8 +24,8 @@ from stratalake.operators.dedup import require_unique
 from stratalake.operators.merge import merge_frames
 from stratalake.sinks.catalog import create_table, place_partitions, registered_location
 from stratalake.sinks.partitioned import write_partitioned
-from stratalake.sinks.upsert import UpsertResult, _without_counts
-from stratalake.sources.storage import child_folders, data_files, file_of, read_lines, remove, write_lines
+from stratalake.sinks.upsert import UpsertResult, _broadcast_bytes, _without_counts, merge_in_one_shuffle
+from stratalake.sources.storage import child_folders, data_files, file_of, read_lines, remove, size_in_bytes, write_lines
 from stratalake.sources.tables import in_partitions, partition_counts
 
 #: Rows of one bucket, of table and source together, that a task joins and sorts, unless a single partition holds more.
@@ -161,8 +161,10 @@ def upsert_by_location(
                     with _bucketed(spark, merged, layer, folder, by, buckets):
                         pass
         else:
-            merged = merge_frames(target, staged, layer.keys, nullable_keys) if known else staged
-            write_partitioned(merged, folder, "overwrite", parts)
+            small = size_in_bytes(spark, staged_path) <= _broadcast_bytes(spark)
+            if not known or small or not merge_in_one_shuffle(target, staged, layer, nullable_keys, folder):
+                merged = merge_frames(target, staged, layer.keys, nullable_keys) if known else staged
+                write_partitioned(merged, folder, "overwrite", parts)
         write_lines(spark, _note(layer), [folder])
         finish_moving(spark, layer)
         rows = sum(p["row_count"] for p in touched)
