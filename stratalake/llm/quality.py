@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .words import LOWER, U64, Words, mix, slices, utf8
+from .words import LOWER, U64, Words, handing_back, mix, slices, utf8
 
 BITS = 18
 #: The model is fitted to so many labelled rows at most, those with the smallest hash of their id. This bounds the one
@@ -118,18 +118,12 @@ def _trained(bits: int):
         rows = []
         for batch in batches:
             for label, places, values in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3)), strict=True):
-                # the constant is a feature of its own, always one
-                rows.append(
-                    (
-                        np.append(np.frombuffer(places, np.int32), 1 << bits),
-                        np.append(np.frombuffer(values, np.float32).astype(float), 1.0),
-                        float(label),
-                    )
-                )
+                rows.append((np.frombuffer(places, np.int32), np.frombuffer(values, np.float32), float(label)))
         ftrl = Ftrl(bits)
         for _ in range(EPOCHS):
             for places, values, label in rows:
-                ftrl.update(places, values, label)
+                # the constant is a feature of its own, always one
+                ftrl.update(np.append(places, 1 << bits), np.append(values.astype(float), 1.0), label)
         weights = ftrl.weights(np.arange((1 << bits) + 1))
         yield pa.RecordBatch.from_arrays([pa.array([weights.tobytes()], pa.binary())], names=["weights"])
 
@@ -167,9 +161,9 @@ def train(
     found = (
         texts.join(F.broadcast(chosen), "id")
         .select(F.xxhash64("id", "text").alias("turn"), "label", "text")
-        .mapInArrow(_featurised(bits), "turn long, label double, places binary, values binary")
+        .mapInArrow(handing_back(_featurised(bits)), "turn long, label double, places binary, values binary")
     )
-    made = found.repartition(1).sortWithinPartitions("turn").mapInArrow(_trained(bits), "weights binary").collect()
+    made = found.repartition(1).sortWithinPartitions("turn").mapInArrow(handing_back(_trained(bits)), "weights binary").collect()
     weights = np.frombuffer(made[0][0]) if made else np.zeros((1 << bits) + 1)
     return Model(weights[:-1], float(weights[-1]))
 
@@ -192,4 +186,4 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", score_col: str
                     names=[*batch.schema.names, score_col],
                 )
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(score_col, T.DoubleType())]))
+    return docs.mapInArrow(handing_back(run), T.StructType([*docs.schema.fields, T.StructField(score_col, T.DoubleType())]))
