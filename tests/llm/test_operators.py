@@ -294,6 +294,35 @@ def test_line_groups_by_edits_alone(spark, percent):
     assert len(set(got.values())) < len(got) - 30
 
 
+@pytest.mark.parametrize("percent", [50, 67])
+def test_line_groups_by_edits_at_other_percentages(spark, percent):
+    rng = random.Random(percent)
+    lines = []
+    for n in [*range(1, 16), 33]:
+        base = [f"w{rng.randrange(9000)}" for _ in range(n)]
+        most = n * (100 - percent) // 100
+        cut, grown, changed = base[: n - most], list(base), list(base)
+        for e in range(n * 100 // percent - n):  # words put in evenly, as many as the longer line allows
+            grown.insert((2 * e + 1) % len(grown), f"more{n}x{e}")
+        for e in range(most):
+            changed[e * n // most] = f"other{n}x{e}"
+        lines += [base, cut or base, grown, changed]
+    rows = [(i, " ".join(w)) for i, w in enumerate(lines)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = line_dedup.line_groups(df, percent=percent, distance=None).collect()
+    assert {(r.doc_id, r.line_no): (r.first_doc_id, r.first_line_no) for r in found} == edit_groups(rows, percent)
+
+
+def test_lines_do_not_meet_in_common_runs(spark):
+    """Lines that share a passage alone, too short for a link, are not even compared."""
+    passage = "terms and conditions apply to all of this".split()
+    words = [[f"a{i}x{j}" for j in range(12)] + passage + [f"b{i}x{j}" for j in range(12)] for i in range(300)]
+    found = [(i, len(w), w) for i, w in enumerate([*words, [*words[0], "one", "more"]])]
+    lines = spark.createDataFrame(found, "node long, n_words int, words array<string>")
+    live = linking.meeting(line_dedup._runs(lines, 80), once=True)
+    assert {r.node for r in live.select("node").collect()} == {0, 300}
+
+
 def test_dedup_lines_takes_lines_out(spark):
     lines = ["one two three", "a", "", "b c"]
     df = spark.createDataFrame(
