@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import uuid
 from collections import Counter
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from contextlib import contextmanager
 from functools import reduce
 
@@ -30,6 +30,8 @@ from stratalake.sources.tables import in_partitions, partition_counts
 
 #: Rows of one bucket, of table and source together, that a task joins and sorts, unless a single partition holds more.
 ROWS_PER_TASK = 1 << 20
+#: Groups of partitions that one query merges. The driver holds the plan of a query, which grows with these.
+GROUPS_PER_QUERY = 4
 
 
 def _note(layer: Layer) -> str:
@@ -57,17 +59,18 @@ def bucket_columns(layer: Layer, nullable_keys: Sequence[str]) -> list[str]:
 
 @contextmanager
 def _bucketed(
-    spark: SparkSession, rows: DataFrame, layer: Layer, folder: str, buckets: Sequence[str], count: int
+    spark: SparkSession, frames: Iterable[DataFrame], layer: Layer, folder: str, buckets: Sequence[str], count: int
 ) -> Iterator[DataFrame]:
-    """Write ``rows`` in buckets and read them as such; their files stay."""
+    """Write the rows of ``frames``, one after the other, in buckets and read them as such; their files stay."""
     # Spark names and uses the files of buckets only for a table
     name = f"`{layer.database}`.`{layer.table}_{uuid.uuid4().hex}`"
-    writer = rows.write.format("parquet").option("path", folder).partitionBy(*layer.partition_columns)
-    writer.bucketBy(count, *buckets).sortBy(*buckets).saveAsTable(name)
     try:
+        for rows in frames:
+            writer = rows.write.format("parquet").option("path", folder).partitionBy(*layer.partition_columns)
+            writer.bucketBy(count, *buckets).sortBy(*buckets).mode("append").saveAsTable(name)
         yield spark.table(name)
     finally:
-        spark.sql(f"DROP TABLE {name}")
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
 def _groups(counts: dict[Row, int], most: int) -> list[list[Row]]:
@@ -84,11 +87,11 @@ def _groups(counts: dict[Row, int], most: int) -> list[list[Row]]:
 
 
 def _merged_by_bucket(
-    spark: SparkSession, target: DataFrame, source: DataFrame, layer: Layer, nullable_keys: Sequence[str], count: int
-) -> DataFrame:
+    target: DataFrame, source: DataFrame, layer: Layer, nullable_keys: Sequence[str], count: int
+) -> Iterator[DataFrame]:
     """The merge of two frames that lie in the same buckets, some partitions at a time, so that no task holds a bucket of all.
 
-    A key lies in one partition, so the merges of groups of partitions add up to that of the whole.
+    A key lies in one partition, so the merges of groups of partitions add up to that of the whole. A few of them make a frame.
     """
     parts = layer.partition_columns
     counts: Counter[Row] = Counter()
@@ -99,19 +102,23 @@ def _merged_by_bucket(
         merge_frames(target.filter(group), source.filter(group), layer.keys, nullable_keys)
         for group in (in_partitions(g, parts) for g in _groups(counts, count * ROWS_PER_TASK))
     ]
-    return reduce(DataFrame.unionByName, merges)
+    for start in range(0, len(merges), GROUPS_PER_QUERY):
+        yield reduce(DataFrame.unionByName, merges[start : start + GROUPS_PER_QUERY])
 
 
 @contextmanager
 def _buckets_by_some_keys(spark: SparkSession) -> Iterator[None]:
-    """Spark otherwise shuffles a side that is laid out by some of the keys of a join instead of all."""
-    key = "spark.sql.requireAllClusterKeysForCoPartition"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "false")
+    """Spark otherwise shuffles a side that is laid out by some of the keys of a join instead of all, or collects the keys of millions of
+    rows in the driver to broadcast them, for it takes them to be as small as their share of the files."""
+    settings = {"spark.sql.requireAllClusterKeysForCoPartition": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {key: spark.conf.get(key) for key in settings}
     try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
         yield
     finally:
-        spark.conf.set(key, before)
+        for key, value in before.items():
+            spark.conf.set(key, value)
 
 
 def upsert_by_location(
@@ -155,9 +162,9 @@ def upsert_by_location(
         if buckets:
             laid_out = staged.hint("rebalance", *parts)
             place = f"{staged_path}-buckets" if known else folder
-            with _buckets_by_some_keys(spark), _bucketed(spark, laid_out, layer, place, by, buckets) as source:
+            with _buckets_by_some_keys(spark), _bucketed(spark, [laid_out], layer, place, by, buckets) as source:
                 if known:
-                    merged = _merged_by_bucket(spark, target, source, layer, nullable_keys, buckets)
+                    merged = _merged_by_bucket(target, source, layer, nullable_keys, buckets)
                     with _bucketed(spark, merged, layer, folder, by, buckets):
                         pass
         else:

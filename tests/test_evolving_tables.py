@@ -167,6 +167,30 @@ def test_buckets_are_merged_some_partitions_at_a_time(spark, table, monkeypatch)
     assert not spark.sql(f"SHOW TABLES IN `{table.database}`").where("tableName <> 't'").collect()
 
 
+def test_a_query_merges_few_groups_of_partitions(spark, table, monkeypatch, plan_of):
+    """What the driver holds does not grow with the table: neither the plan nor keys to be broadcast."""
+    monkeypatch.setattr(versions, "ROWS_PER_TASK", 1)
+    monkeypatch.setattr(versions, "GROUPS_PER_QUERY", 2)
+    scans, physical = [], []
+    frames = type(spark.range(0))
+    save = frames.write.fget
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+
+    def watched(df):
+        scans.append(plan(df).count("Relation"))
+        physical.append(plan_of(df))
+        return save(df)
+
+    monkeypatch.setattr(frames, "write", property(watched))
+    first = [(k, "j", "a", 2020 + k % 9) for k in range(90)]
+    upsert_by_location(spark, spark.createDataFrame(first, ROWS), table, ("j",), buckets=3)
+    source = [(k, "j", "b", 2020 + k % 9) for k in range(45, 99)]
+    upsert_by_location(spark, spark.createDataFrame(source, ROWS), table, ("j",), buckets=3)
+    assert rows_of(spark.table(table.qualified_name).select("k", "j", "v", "year")) == sorted(first[:45] + source, key=repr)
+    assert max(scans) == 8 and len(scans) == 9
+    assert not any("Broadcast" in text for text in physical)
+
+
 def test_buckets_need_a_key_that_is_never_null(spark, table):
     with pytest.raises(ValueError, match="never NULL"):
         upsert_by_location(spark, spark.createDataFrame([], ROWS), table, ("k",), buckets=2)
