@@ -15,6 +15,9 @@ from stratalake.sinks.catalog import note_columns
 from stratalake.sources.storage import has_stream_log, table_exists
 from stratalake.sources.tables import read_layer
 
+#: Of stored tables. It takes about a quarter less than Spark's default.
+CODEC = "zstd"
+
 
 def write_partitioned(
     rows: DataFrame,
@@ -46,7 +49,7 @@ def write_partitioned(
     def write(frame: DataFrame) -> None:
         if helper is not None:
             frame = frame.drop(helper)
-        writer = frame.write.mode(mode).partitionBy(*partition_columns)
+        writer = frame.write.mode(mode).option("compression", CODEC).partitionBy(*partition_columns)
         writer.option("partitionOverwriteMode", "dynamic" if only_present else "static").parquet(path)
 
     return measure_while(laid_out, write, rows=F.count(F.lit(1)), **measures)

@@ -67,6 +67,12 @@ def test_overwrite_replaces_all_partitions_whatever_the_session_says(spark, laye
     assert stored(spark, layer) == sorted(SOURCE, key=repr)
 
 
+def test_stored_tables_are_packed_tightly(spark, layer):
+    write_partitioned(frame(spark, TARGET), layer.path, "overwrite", PARTS)
+    files = [p.name for p in Path(layer.path).rglob("*.parquet")]
+    assert files and all(".zstd." in name for name in files)
+
+
 def test_append_of_other_types_is_refused(spark, layer):
     append_or_create(spark, frame(spark, TARGET), layer)
     with pytest.raises(ValueError, match=r"\['k'\]"):
